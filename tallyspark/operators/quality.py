@@ -78,11 +78,11 @@ def missing_targets(df: DataFrame, season: str, closed_before: int,
 def contract_checks(pred: DataFrame, expected_rows: int, unique_col: str,
                     proba_cols: Sequence[str], nonneg_cols: Sequence[str],
                     order_col: str, rank_col: str, mode_col: str,
-                    modes: Sequence[str]) -> DataFrame:
-    """Contract of a top-N prediction table as boolean columns.
-
-    Monotonic order is checked with ``lag`` over the (small, top-N) table."""
-    w = Window.orderBy(rank_col)
+                    modes: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Contract of a top-N prediction table as boolean columns, per
+    ``by`` group (an event).  Monotonic order is checked with ``lag`` over
+    the top-N rows of a group (at most N rows per window partition)."""
+    w = Window.partitionBy(*by).orderBy(rank_col) if by else Window.orderBy(rank_col)
     x = pred.withColumn("_prev", F.lag(order_col).over(w))
     checks: list[Column] = [
         (F.count(F.lit(1)) == expected_rows).alias("row_count_ok"),
@@ -99,7 +99,7 @@ def contract_checks(pred: DataFrame, expected_rows: int, unique_col: str,
     checks.append(F.coalesce(F.bool_and(F.col("_prev").isNull() | (F.col(order_col) <= F.col("_prev"))),
                              F.lit(True)).alias("order_ok"))
     checks.append(F.coalesce(F.bool_and(F.col(mode_col).isin(list(modes))), F.lit(True)).alias("mode_ok"))
-    return x.agg(*checks)
+    return x.groupBy(*by).agg(*checks)
 
 
 def reconcile(reconstructed: DataFrame, official: DataFrame, keys: Sequence[str],
