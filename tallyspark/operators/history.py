@@ -247,9 +247,17 @@ def dense_rank_desc_within(df: DataFrame, keys: list[str], value: str, out: str)
 GROUP_FEATURE_PREFIXES = ("constructor_", "races_completed_current_season_before_constructor")
 
 
-def add_history_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Prepared panel -> panel with all history features F1-F28."""
+def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: bool = True) -> DataFrame:
+    """Prepared panel -> panel with all history features F1-F28.
+
+    The entity-window block is read by three branches (row level, event x
+    group aggregate, distinct strength values); ``materialize_entity`` writes
+    it once to the shared checkpoint folder instead of recomputing the
+    windows per branch."""
     x = entity_history(df, spec)
+    if materialize_entity:
+        from ..session import materialize
+        x = materialize(x, "entity_features")
     ge = group_event_table(x, spec)
     cr = group_history(ge, spec)
     ev = event_table(ge, spec)

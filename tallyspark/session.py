@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +60,15 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df, tag: str):
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back: lineage is cut, the data survives executor loss, and later
+    readers get column pruning and filter pushdown (an RDD checkpoint has
+    neither)."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tables/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
