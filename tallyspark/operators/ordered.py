@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 UNB = Window.unboundedPreceding
 
@@ -36,6 +37,19 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
               .drop("_one_key"))
 
 
+def _numeric_key(df: DataFrame, col: str) -> Column:
+    """Order-preserving double for the bucket bounds: numbers as they are,
+    strings by their first 6 UTF-8 bytes (binary order, as Spark sorts
+    strings); ties of the prefix only share a bucket."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, StringType):
+        head = F.hex(F.substring(F.col(col).cast("binary"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
 def _with_bucket(df: DataFrame, col: str, buckets: int) -> DataFrame:
     """Bucket = number of approximate-quantile bounds below the value.
 
@@ -44,8 +58,8 @@ def _with_bucket(df: DataFrame, col: str, buckets: int) -> DataFrame:
     if buckets <= 1:
         return df.withColumn("_bkt", F.lit(0))
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), qs, 10000).alias("_bounds"))
-    v = F.col(col).cast("double")
+    v = _numeric_key(df, col)
+    bounds = df.agg(F.percentile_approx(v, qs, 10000).alias("_bounds"))
     return (with_scalar(df, bounds)
             .withColumn("_bkt", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < v)), F.lit(0)))
             .drop("_bounds"))
