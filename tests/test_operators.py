@@ -94,3 +94,29 @@ def test_null_compares_as_zero_and_dnf(spark):
     r = df.select(le_or_zero(F.col("q"), 10).alias("f"), is_dnf(F.col("fin"), F.col("status")).alias("d")).collect()
     assert [x["f"] for x in r] == [0, 1, 0, 1]
     assert [x["d"] for x in r] == [None, 0, 1, 1]
+
+
+def test_pairwise_ranker_equals_brute_force_pairs(spark):
+    """The moment-based normal equations equal the explicit all-pairs least
+    squares solution (pairs enumerated here in numpy, on a small fixture)."""
+    import numpy as np
+    from tallyspark.operators.models import PairwiseRanker
+    rng = np.random.default_rng(7)
+    rows = []
+    for ev in range(4):
+        n = 6 + ev
+        for i in range(n):
+            rows.append((2000, ev, int(rng.integers(0, 4)), float(rng.normal()), float(rng.normal())))
+    df = spark.createDataFrame(rows, "season int, round int, rel int, a double, b double")
+    rk = PairwiseRanker(["a", "b"], l2=0.5).fit(df, "rel")
+    X = np.array([[r[3], r[4]] for r in rows])
+    A = np.zeros((2, 2))
+    bvec = np.zeros(2)
+    for i, ri in enumerate(rows):
+        for j, rj in enumerate(rows):
+            if ri[:2] == rj[:2] and ri[2] > rj[2]:
+                dlt = X[i] - X[j]
+                A += np.outer(dlt, dlt)
+                bvec += dlt
+    w = np.linalg.solve(A + 0.5 * np.eye(2), bvec)
+    assert np.allclose(rk.weights, w)
