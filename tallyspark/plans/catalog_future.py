@@ -37,10 +37,15 @@ def future_rows(spark, sf_dir) -> DataFrame:
     return FU.future_feature_rows(p, FU.event_schedule(p, S), S, LIVE, CUT)
 
 
-FUTURE_CTES = [
-    f"h as (select * from p where season < {LIVE} or (season = {LIVE} and round < {CUT}))",
+def future_ctes(cut: int = CUT, only_round: int | None = None) -> list[str]:
+    tgt = f"round = {only_round}" if only_round is not None else f"round >= {cut}"
+    return [c.replace("__CUT__", str(cut)).replace("__TGT__", tgt) for c in _FUTURE_CTES]
+
+
+_FUTURE_CTES = [
+    f"h as (select * from p where season < {LIVE} or (season = {LIVE} and round < __CUT__))",
     f"ent as (select driver_id, constructor_id from h where event_seq = (select max(event_seq) from h where season = {LIVE}))",
-    f"tg as (select distinct season, round, event_seq, circuit_id from p where season = {LIVE} and round >= {CUT})",
+    f"tg as (select distinct season, round, event_seq, circuit_id from p where season = {LIVE} and __TGT__)",
     "hr as (select *, row_number() over (partition by driver_id order by event_seq desc) as rn from h)",
     f"""d as (select driver_id, cast(count(*) as int) as driver_races_before,
         avg(case when rn <= 5 then position_order end) as driver_avg_finish_last_5,
@@ -74,6 +79,7 @@ FUTURE_CTES = [
         'PRE-QUALI' as prediction_mode
       from snap s, tg)""",
 ]
+FUTURE_CTES = future_ctes()
 
 
 @register("wa_future_feature_rows", with_prep(*FUTURE_CTES) + """
@@ -187,3 +193,62 @@ def q_j14(spark, sf_dir):
                               F.col("driver_points_last_3").cast("bigint").alias("driver_points_last_3"),
                               "driver_avg_finish_last_5",
                               F.col("driver_points_last_5").cast("bigint").alias("driver_points_last_5")))
+
+
+@register("a16_round_prediction_summary", with_prep(*FUTURE_CTES, SCORED_CTE) + """
+select season, round, cast(count(*) as bigint) as n_rows, round(avg(proba_top10), 6) as mean_proba_top10,
+  round(avg(proba_podium), 6) as mean_proba_podium, round(sum(expected_points), 6) as total_expected_points
+from sc group by season, round""", "A16")
+def q_a16(spark, sf_dir):
+    return present(_scored(spark, sf_dir).groupBy("season", "round").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_rows"), F.avg("proba_top10").alias("mean_proba_top10"),
+        F.avg("proba_podium").alias("mean_proba_podium"), F.sum("expected_points").alias("total_expected_points")))
+
+
+@register("p27_display_table", with_prep(*FUTURE_CTES, SCORED_CTE, SCORED2_CTE, TOPN_CTE) + """
+select predicted_rank, season, round, driver_id, printf('%.1f%%', round(proba_top10 * 100, 1)) as p_top10,
+  printf('%.1f%%', round(proba_podium * 100, 1)) as p_podium, round(expected_points, 2) as expected_points
+from topn""", "P27")
+def q_p27(spark, sf_dir):
+    t = top_table(spark, sf_dir)
+    return present(t.select("predicted_rank", "season", "round", "driver_id",
+                            F.format_string("%.1f%%", F.round(F.col("proba_top10") * 100, 1)).alias("p_top10"),
+                            F.format_string("%.1f%%", F.round(F.col("proba_podium") * 100, 1)).alias("p_podium"),
+                            F.round("expected_points", 2).alias("expected_points")))
+
+
+SELECTED = 9
+
+
+@register("l11_predict_selected_event", with_prep(*future_ctes(SELECTED, SELECTED), SCORED_CTE, SCORED2_CTE, TOPN_CTE)
+          + """, cm as (select season, round, confidence as confidence_mode from (
+    select season, round, confidence, row_number() over (partition by season, round order by count(*) desc, confidence) as r
+    from topn group by season, round, confidence) t where r = 1)
+select t.predicted_rank, t.season, t.round, t.driver_id, round(t.proba_top10, 6) as proba_top10,
+  round(t.proba_podium, 6) as proba_podium, round(t.expected_points, 6) as expected_points,
+  round(t.race_rank_score, 6) as race_rank_score, t.confidence, t.prediction_mode, cm.confidence_mode
+from topn t join cm using (season, round)""".replace("\n, cm as", ", cm as"), "L11,E3,A22,P25,P26,P18")
+def q_l11(spark, sf_dir):
+    from .predict import predict_event
+    p = prepared_panel(spark, sf_dir)
+    out = predict_event(p, FU.event_schedule(p, S), S, LIVE, SELECTED)
+    return present(out.select("predicted_rank", "season", "round", "driver_id", "proba_top10", "proba_podium",
+                              "expected_points", "race_rank_score", "confidence", "prediction_mode",
+                              "confidence_mode"))
+
+
+@register("p32_future_with_quali_feed", with_prep(*FUTURE_CTES) + """,
+fq as (select r.driver_id, r.season, r.round, q.quali_position from rows r
+       left join p q on q.driver_id = r.driver_id and q.season = r.season and q.round = r.round)
+select driver_id, season, round, quali_position, quali_position as grid_position,
+  cast(quali_position is null as int) as missing_qualifying,
+  case when bool_and(quali_position is not null) over (partition by season, round) then 'POST-QUALI'
+       else 'PRE-QUALI' end as prediction_mode
+from fq""", "P32,D4,P28")
+def q_p32(spark, sf_dir):
+    p = prepared_panel(spark, sf_dir)
+    feed = p.filter((F.col("season") == LIVE) & (F.col("round") >= CUT)).select(
+        "season", "round", "driver_id", "quali_position")
+    rows = FU.future_feature_rows(p, FU.event_schedule(p, S), S, LIVE, CUT, quali_feed=feed, grid_from_quali=True)
+    return rows.select("driver_id", "season", "round", "quali_position", "grid_position", "missing_qualifying",
+                       "prediction_mode")

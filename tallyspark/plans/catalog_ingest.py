@@ -263,3 +263,35 @@ def q_t1(spark, sf_dir):
     SN.write_pages(pages, f"{root}/incoming/batch2")
     table = incremental_results_ingest(spark, f"{root}/incoming", f"{root}/table", f"{root}/ckpt")
     return table.select(*[F.col(f"`{c}`").alias(c) for c in SN.RESULT_COLUMNS])
+
+
+# ------------------------------------------------------------ P3, P15
+@register("p3_min_season_filter", with_prep() + "select driver_id, season, round from p where season >= 1996", "P3")
+def q_p3(spark, sf_dir):
+    # the filter reaches the scan of the materialised panel (PushedFilters)
+    return base_panel(spark, sf_dir).filter(F.col("season") >= 1996).select("driver_id", "season", "round")
+
+
+@register("p15_schedule_fallback", with_prep(QUALI_SQL,
+    "pr as (select driver_id, season, round, position_order, circuit_id, 'Month ' || cast(round as varchar) as race_name from p)",
+    """o as (select coalesce(pr.driver_id, q.driver_id) as driver_id, coalesce(pr.season, q.season) as season,
+    coalesce(pr.round, q.round) as round, pr.circuit_id, pr.race_name,
+    case when pr.driver_id is not null and q.driver_id is not null then 'both'
+         when pr.driver_id is not null then 'left_only' else 'right_only' end as _merge
+  from pr full outer join q on pr.driver_id = q.driver_id and pr.season = q.season and pr.round = q.round)""",
+    "sch as (select distinct season, round, circuit_id, 'Month ' || cast(round as varchar) as race_name from p)") + f"""
+select o.driver_id, o.season, o.round, coalesce(o.circuit_id, sch.circuit_id) as circuit_id,
+  coalesce(o.race_name, sch.race_name) as race_name, o._merge
+from o left join sch on o.season = sch.season and o.round = sch.round
+where o._merge <> 'right_only' or o.season >= {LIVE}""", "P15,D6,J4")
+def q_p15(spark, sf_dir):
+    b = base_panel(spark, sf_dir)
+    res = b.select("driver_id", "season", "round", "position_order", "circuit_id",
+                   F.concat(F.lit("Month "), F.col("round").cast("string")).alias("race_name"))
+    o = J.keep_right_only_for(J.outer_with_indicator(res, _qualifying_side(spark, sf_dir),
+                                                     ["driver_id", "season", "round"]), "season", LIVE)
+    sch = b.select("season", "round", F.col("circuit_id").alias("_sc"),
+                   F.concat(F.lit("Month "), F.col("round").cast("string")).alias("_sr")).distinct()
+    o = o.join(sch, ["season", "round"], "left")  # one row per event: bounded, broadcast by AQE
+    return o.select("driver_id", "season", "round", F.coalesce("circuit_id", "_sc").alias("circuit_id"),
+                    F.coalesce("race_name", "_sr").alias("race_name"), "_merge")
