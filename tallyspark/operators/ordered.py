@@ -16,6 +16,11 @@ ordered buckets first:
 4. inside a bucket an ordinary window adds the local running total.
 
 The result is exact; tasks hold about 1/buckets of a group each.
+
+The bucketed plan costs a few extra passes, so it is chosen by size: one
+aggregate measures the largest group and groups up to ``max_window_rows``
+rows (``spark.tallyspark.maxWindowRows``, default 1,000,000) use a plain
+window; larger ones take the bucketed plan.
 """
 
 from __future__ import annotations
@@ -65,14 +70,42 @@ def _with_bucket(df: DataFrame, col: str, buckets: int) -> DataFrame:
             .drop("_bounds"))
 
 
+DEFAULT_MAX_WINDOW_ROWS = 1_000_000
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    """Row count of the largest group (partial aggregation; one number)."""
+    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
+        df.agg(F.count(F.lit(1)).alias("_n"))
+    return int(g.agg(F.max("_n")).first()[0] or 0)
+
+
+def _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position):
+    ords = [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
+    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy(*ords)
+    run = w.rowsBetween(UNB, 0)
+    cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(run) for v in value_cols}
+    if with_position:
+        cols[with_position] = F.row_number().over(w).cast("int")
+    return df.withColumns(cols)
+
+
 def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
                 value_cols: Sequence[str], out_prefix: str = "cum_", buckets: int | None = None,
-                with_position: str | None = None) -> DataFrame:
+                with_position: str | None = None, max_window_rows: int | None = None) -> DataFrame:
     """Add ``{out_prefix}{v}``: sum of ``v`` over rows of the same group that
     come at or before the row in ``order`` ((column, ascending) pairs; the
     order must be total within a group).  ``with_position`` also adds the
-    1-based position of the row (a distributed ``row_number``)."""
+    1-based position of the row (a distributed ``row_number``).
+
+    ``max_window_rows``: largest group size served by a plain window
+    (``None`` reads the session setting; ``0`` forces the bucketed plan)."""
     group_cols = list(group_cols)
+    if max_window_rows is None:
+        max_window_rows = int(df.sparkSession.conf.get("spark.tallyspark.maxWindowRows",
+                                                       str(DEFAULT_MAX_WINDOW_ROWS)))
+    if buckets is None and max_window_rows > 0 and largest_group(df, group_cols) <= max_window_rows:
+        return _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position)
     lead, lead_asc = order[0]
     if buckets is None:
         buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
@@ -100,6 +133,7 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
 
 
 def position_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
-                    out: str, buckets: int | None = None) -> DataFrame:
+                    out: str, buckets: int | None = None, max_window_rows: int | None = None) -> DataFrame:
     """Distributed ``row_number() over (partition by group order by ...)``."""
-    return prefix_sums(df, group_cols, order, [], buckets=buckets, with_position=out)
+    return prefix_sums(df, group_cols, order, [], buckets=buckets, with_position=out,
+                       max_window_rows=max_window_rows)

@@ -60,22 +60,39 @@ def monthly_supplier_aggregate(lineitem: DataFrame, orders: DataFrame) -> DataFr
 
 
 def supplier_month_panel(lineitem: DataFrame, orders: DataFrame,
-                         supplier: DataFrame) -> DataFrame:
+                         supplier: DataFrame, distributed_ranks: bool = True) -> DataFrame:
+    """Positions inside an event are row numbers over (event, value desc,
+    entity).  ``distributed_ranks`` computes them with
+    ``ordered.position_within`` (value buckets, no task holds a whole event)
+    on the materialised monthly aggregate; ``False`` uses plain windows
+    partitioned by event (fine when events are small)."""
     m = monthly_supplier_aggregate(lineitem, orders)
     sup = supplier.select(F.col("s_suppkey").alias("driver_id"),
                           F.col("s_name").alias("driver_name"),
                           F.col("s_nationkey").alias("constructor_id"))
     r = m.join(sup, "driver_id")
-    ev = Window.partitionBy("season", "round")
+    ev = ["season", "round"]
+    if distributed_ranks:
+        from ..operators.ordered import position_within
+        from ..session import materialize
+        # read three times (size check + ranks): write the small aggregate once
+        r = materialize(r, "monthly_aggregate")
+        r = position_within(r, ev, [("rev_cents", False), ("driver_id", True)], "_pos_rev")
+        r = position_within(r, ev, [("qty", False), ("driver_id", True)], "_pos_qty")
+        r = position_within(r, ev, [("urgent_qty", False), ("driver_id", True)], "_pos_urg")
+        pos_rev, pos_qty, pos_urg = F.col("_pos_rev"), F.col("_pos_qty"), F.col("_pos_urg")
+    else:
+        w = Window.partitionBy(*ev)
+        pos_rev = F.row_number().over(w.orderBy(F.desc("rev_cents"), "driver_id"))
+        pos_qty = F.row_number().over(w.orderBy(F.desc("qty"), "driver_id"))
+        pos_urg = F.row_number().over(w.orderBy(F.desc("urgent_qty"), "driver_id"))
     r = r.select(
         "driver_id", "driver_name", "constructor_id",
         F.col("round").alias("circuit_id"), "season", "round",
         ((F.col("season") - FIRST_SEASON) * 12 + F.col("round")).cast("int").alias("event_seq"),
-        F.row_number().over(ev.orderBy(F.desc("rev_cents"), "driver_id")).alias("position_order"),
-        F.when(F.col("n_open") == 0, F.lit(0)).otherwise(
-            F.row_number().over(ev.orderBy(F.desc("qty"), "driver_id"))).alias("grid"),
-        F.when(F.col("urgent_qty") == 0, F.lit(None).cast("int")).otherwise(
-            F.row_number().over(ev.orderBy(F.desc("urgent_qty"), "driver_id"))).alias("quali_position"),
+        pos_rev.cast("int").alias("position_order"),
+        F.when(F.col("n_open") == 0, F.lit(0)).otherwise(pos_qty.cast("int")).alias("grid"),
+        F.when(F.col("urgent_qty") == 0, F.lit(None).cast("int")).otherwise(pos_urg.cast("int")).alias("quali_position"),
         F.when(F.col("n_ret") * 2 > F.col("n_lines"), "Retired")
          .when(F.col("n_ret") == 0, "Finished").otherwise("+1 Lap").alias("status"),
     )
