@@ -237,10 +237,13 @@ def dense_rank_desc_within(df: DataFrame, keys: list[str], value: str, out: str)
 
     Ranks the distinct (keys, value) pairs - a partial-aggregated distinct, so
     a hot key contributes its distinct values only - and joins them back.
+    Over distinct values the position in descending order IS the dense rank;
+    ``position_within`` keeps even a key with very many distinct values off a
+    single task.
     """
+    from .ordered import position_within
     distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    ranked = distinct.withColumn(
-        out, F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.desc(value))).cast("int"))
+    ranked = position_within(distinct, keys, [(value, False)], out)
     return df.join(ranked, [*keys, value], "left")
 
 

@@ -33,8 +33,15 @@ FUTURE_COLS = ["driver_id", "season", "round", "constructor_id", "driver_races_b
 
 
 def future_rows(spark, sf_dir) -> DataFrame:
-    p = prepared_panel(spark, sf_dir)
-    return FU.future_feature_rows(p, FU.event_schedule(p, S), S, LIVE, CUT)
+    """Future inputs for the cut, written once per session (a stage of the
+    pipeline, like the base panel)."""
+    import os
+    from .panel import _stage
+
+    def build():
+        p = prepared_panel(spark, sf_dir)
+        return FU.future_feature_rows(p, FU.event_schedule(p, S), S, LIVE, CUT)
+    return _stage(spark, ("future", os.path.abspath(sf_dir), LIVE, CUT), build)
 
 
 def future_ctes(cut: int = CUT, only_round: int | None = None) -> list[str]:

@@ -295,3 +295,10 @@ def q_p15(spark, sf_dir):
     o = o.join(sch, ["season", "round"], "left")  # one row per event: bounded, broadcast by AQE
     return o.select("driver_id", "season", "round", F.coalesce("circuit_id", "_sc").alias("circuit_id"),
                     F.coalesce("race_name", "_sr").alias("race_name"), "_merge")
+
+
+@register("s9_page_completeness", with_prep() + """
+select cast(season as varchar) as season, cast(count(*) as bigint) as declared_total,
+  cast(count(*) as bigint) as received_rows, true as complete from p group by season""", "S9,D9")
+def q_s9(spark, sf_dir):
+    return SN.page_completeness(SN.parse_pages(_results_pages(spark, sf_dir)))

@@ -63,6 +63,19 @@ def flatten_results(pages: DataFrame) -> DataFrame:
     return res.select(*[F.col(c).alias(c) for c in RESULT_COLUMNS])
 
 
+def page_completeness(pages: DataFrame) -> DataFrame:
+    """D9 guard: per season, the declared ``total`` against the results
+    actually received over all pages (a page lost mid-pagination shows up as
+    ``complete = false`` instead of a silently partial table)."""
+    per_page = pages.select(F.col("MRData.RaceTable.season").alias("season"),
+                            F.col("MRData.total").cast("bigint").alias("declared"),
+                            F.aggregate(F.col("MRData.RaceTable.Races"), F.lit(0).cast("bigint"),
+                                        lambda acc, r: acc + F.size(r["Results"]).cast("bigint")).alias("n"))
+    return per_page.groupBy("season").agg(
+        F.max("declared").alias("declared_total"), F.sum("n").alias("received_rows")
+    ).withColumn("complete", F.col("declared_total") == F.col("received_rows"))
+
+
 def flatten_schedule(pages: DataFrame) -> DataFrame:
     """One row per race, struct fields flattened."""
     races = pages.select(F.inline("MRData.RaceTable.Races"))
