@@ -232,6 +232,13 @@ def compat_row_level_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.withColumns(cols)
 
 
+def dense_rank_table(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """(keys, value, dense rank descending) for every distinct non-null value."""
+    from .ordered import position_within
+    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
+    return position_within(distinct, keys, [(value, False)], out)
+
+
 def dense_rank_desc_within(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """W7 dense rank (descending) of ``value`` within ``keys``; null stays null.
 
@@ -241,10 +248,7 @@ def dense_rank_desc_within(df: DataFrame, keys: list[str], value: str, out: str)
     ``position_within`` keeps even a key with very many distinct values off a
     single task.
     """
-    from .ordered import position_within
-    distinct = df.select(*keys, value).where(F.col(value).isNotNull()).distinct()
-    ranked = position_within(distinct, keys, [(value, False)], out)
-    return df.join(ranked, [*keys, value], "left")
+    return df.join(dense_rank_table(df, keys, value, out), [*keys, value], "left")
 
 
 GROUP_FEATURE_PREFIXES = ("constructor_", "races_completed_current_season_before_constructor")
@@ -307,10 +311,7 @@ def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: boo
 
     # W7 dense strength ranks within the event.
     x = dense_rank_desc_within(x, ek, "driver_points_before_season", "driver_strength_rank_before")
-    crank = dense_rank_desc_within(cr.select(*ek, "constructor_points_before_season"), ek,
-                                   "constructor_points_before_season", "constructor_strength_rank_before")
-    crank = crank.groupBy(*ek, "constructor_points_before_season").agg(
-        F.first("constructor_strength_rank_before").alias("constructor_strength_rank_before"))
+    crank = dense_rank_table(cr, ek, "constructor_points_before_season", "constructor_strength_rank_before")
     x = x.join(crank, [*ek, "constructor_points_before_season"], "left")
 
     # F28 cold-start flags.
