@@ -106,11 +106,10 @@ def pairwise_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def quartiles_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Exact quartiles (linear interpolation) per class."""
-    q = F.percentile(F.col(value).cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(q.alias("q"))
-              .select(*keys, F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"),
-                      F.col("q")[2].alias("q75")))
+    """Exact quartiles (linear interpolation) per class, from value
+    histograms and distributed running counts (``quantiles``)."""
+    from .quantiles import exact_quantiles
+    return exact_quantiles(df, keys, value, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:

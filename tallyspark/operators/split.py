@@ -64,10 +64,11 @@ def imbalance_weight(df: DataFrame, label: str) -> DataFrame:
 class MedianImputer:
     """Exact per-column median fitted on one frame, applied to others.
 
-    ``percentile(c, 0.5)`` is exact (a value -> count map per task, so memory
-    follows the number of distinct values, not rows).  Columns that are null
-    on the whole fit frame are dropped, as the original imputer does.  The
-    fitted medians are a one-row table attached as a scalar (no collect)."""
+    Medians come from ``quantiles.column_medians`` (value histograms and
+    distributed running counts: no task gathers a column).  Columns that are
+    null on the whole fit frame are dropped, as the original imputer does.
+    The fitted medians are a one-row table attached as a scalar; only the
+    list of all-null columns reaches the driver."""
 
     def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
@@ -75,9 +76,10 @@ class MedianImputer:
         self.kept: list[str] = []
 
     def fit(self, df: DataFrame) -> "MedianImputer":
-        aggs = [F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in self.cols]
-        self.medians = df.agg(*aggs)
-        row = self.medians.first()  # one row, len(cols) numbers
+        from ..session import materialize
+        from .quantiles import column_medians
+        self.medians = materialize(column_medians(df, self.cols), "medians")  # one row
+        row = self.medians.first()
         self.kept = [c for c in self.cols if row[c] is not None]
         self.medians = self.medians.select(*self.kept)
         return self

@@ -120,3 +120,22 @@ def test_pairwise_ranker_equals_brute_force_pairs(spark):
                 bvec += dlt
     w = np.linalg.solve(A + 0.5 * np.eye(2), bvec)
     assert np.allclose(rk.weights, w)
+
+
+def test_exact_quantiles_match_percentile(spark):
+    from tallyspark.operators.quantiles import column_medians, exact_quantiles
+    df = spark.range(0, 997).select((F.col("id") % 7).alias("g"), ((F.col("id") * 7919) % 1013 / 7.0).alias("v"),
+                                    F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 13).alias("w"))
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], ["a", "b", "c"]).collect()}
+    want = df.groupBy("g").agg(F.percentile("v", [0.25, 0.5, 0.75]).alias("q")).collect()
+    for r in want:
+        assert [got[r["g"]][k] for k in "abc"] == pytest.approx(list(r["q"]))
+    med = column_medians(df.withColumn("z", F.lit(None).cast("double")), ["v", "w", "z"]).first()
+    ref = df.agg(F.percentile("v", 0.5).alias("v"), F.percentile("w", 0.5).alias("w")).first()
+    assert med["v"] == pytest.approx(ref["v"]) and med["w"] == pytest.approx(ref["w"]) and med["z"] is None
+    spark.conf.set("spark.tallyspark.maxWindowRows", "0")  # bucketed running counts
+    try:
+        got2 = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [0.5], ["b"]).collect()}
+    finally:
+        spark.conf.unset("spark.tallyspark.maxWindowRows")
+    assert all(got2[g]["b"] == pytest.approx(got[g]["b"]) for g in got)
