@@ -128,7 +128,7 @@ def future_feature_rows(prepared: DataFrame, schedule: DataFrame, spec: PanelSpe
     va = venue_asof(hist, spec)
     rows = (rows.join(va["entity"], [spec.entity, spec.venue], "left")
                 .join(va["group"], [spec.group, spec.venue], "left")
-                .join(F.broadcast(va["venue"]), spec.venue, "left"))
+                .join(F.broadcast(va["venue"]), spec.venue, "left"))  # one row per venue
     rows = rows.withColumns({
         "race_round": F.col(spec.round),
         "missing_circuit_history": F.col("driver_avg_finish_on_circuit_before").isNull().cast("int"),

@@ -73,11 +73,16 @@ def _with_bucket(df: DataFrame, col: str, buckets: int) -> DataFrame:
 DEFAULT_MAX_WINDOW_ROWS = 1_000_000
 
 
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    """Row count of the largest group (partial aggregation; one number)."""
+def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
+    """(rows of the largest group, number of groups): one aggregate, two numbers."""
     g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
         df.agg(F.count(F.lit(1)).alias("_n"))
-    return int(g.agg(F.max("_n")).first()[0] or 0)
+    r = g.agg(F.max("_n").alias("m"), F.count(F.lit(1)).alias("k")).first()
+    return int(r["m"] or 0), int(r["k"] or 0)
+
+
+def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
+    return group_stats(df, group_cols)[0]
 
 
 def _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position):
@@ -104,8 +109,11 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
     if max_window_rows is None:
         max_window_rows = int(df.sparkSession.conf.get("spark.tallyspark.maxWindowRows",
                                                        str(DEFAULT_MAX_WINDOW_ROWS)))
-    if buckets is None and max_window_rows > 0 and largest_group(df, group_cols) <= max_window_rows:
-        return _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position)
+    n_groups = None
+    if buckets is None and max_window_rows > 0:
+        biggest, n_groups = group_stats(df, group_cols)
+        if biggest <= max_window_rows:
+            return _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position)
     lead, lead_asc = order[0]
     if buckets is None:
         buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
@@ -119,9 +127,13 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
     wb = Window.partitionBy(*group_cols).orderBy(bo).rowsBetween(UNB, -1)
     offsets = totals.select(*group_cols, "_bkt", *[
         F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    # groups x buckets rows at most: a bounded broadcast
-    x = x.join(F.broadcast(offsets), [*group_cols, "_bkt"], "left") if group_cols else \
-        x.join(F.broadcast(offsets), ["_bkt"], "left")
+    # the offsets table has at most groups x buckets rows: hint a broadcast
+    # only when that product is known to be small, otherwise AQE decides
+    if n_groups is None:
+        n_groups = group_stats(df, group_cols)[1]
+    if n_groups * buckets <= DEFAULT_MAX_WINDOW_ROWS:
+        offsets = F.broadcast(offsets)
+    x = x.join(offsets, [*group_cols, "_bkt"], "left")
     ords = [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
     wl = Window.partitionBy(*group_cols, "_bkt").orderBy(*ords).rowsBetween(UNB, 0)
     cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(wl) + F.col(f"_o_{v}")
