@@ -140,7 +140,9 @@ def top_table(spark, sf_dir) -> DataFrame:
 
 
 @register("o3_top_n_predictions", with_prep(*FUTURE_CTES, SCORED_CTE, SCORED2_CTE, TOPN_CTE)
-          + f"select {', '.join(TOP_COLS)} from topn", "O3,O2,W11,L10,L11,P22,P23,P24,P25,P27")
+          + "select " + ", ".join(f"round({c}, 6) as {c}" if c in ("proba_top10", "proba_podium", "expected_points",
+                                                                    "race_rank_score") else c for c in TOP_COLS)
+          + " from topn", "O3,O2,W11,L10,L11,P22,P23,P24,P25,P27")
 def q_topn(spark, sf_dir):
     return present(top_table(spark, sf_dir).select(*TOP_COLS))
 
