@@ -125,6 +125,7 @@ def group_event_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
         F.sum("grand_prix_points").alias("constructor_points"),
         F.sum("event_points").alias("constructor_event_points"),
         F.count(F.lit(1)).alias("n_rows"),
+        F.count("grand_prix_points").alias("cnt_gp"),
         F.max("driver_points_before_season").alias("max_driver_points_before_season"),
     ]
     for name, c in src.items():
@@ -203,33 +204,96 @@ def event_table(ge: DataFrame, spec: PanelSpec) -> DataFrame:
     return ev.withColumns(cols)
 
 
-def compat_row_level_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """D1 reproduction: row-level shift inside group/venue partitions.
-
-    Partitions here are whole groups/venues, so this path exists for parity
-    with the original numbers only; the strict path is the scalable one.
-    """
+def compat_row_level_features(df: DataFrame, spec: PanelSpec, ge: DataFrame | None = None) -> DataFrame:
+    """D1 reproduction: row-level shift inside group/venue partitions
+    (rows ordered by (seq, entity); later rows of an event see earlier ones).
+
+    The expanding means/sums decompose exactly into
+      (everything of prior events)  +  (earlier rows of the same event):
+    the first part is a cumulative sum over the event x group table (bounded
+    by #events x #groups), the second a running total inside each (event[,
+    group]) ordered by entity (``ordered.prefix_sums``, size-checked).  No
+    window ever holds a whole venue or group.  Only the rows-based rolling
+    sums (F23 compat, "last n rows") stay a window over the group: that
+    sequential semantics is reproduced for parity, the strict path is the
+    scalable one."""
+    from .ordered import prefix_sums
     g, v, seq, e = spec.group, spec.venue, spec.seq, spec.entity
-    wgv = Window.partitionBy(g, v).orderBy(seq, e)
-    wvv = Window.partitionBy(v).orderBy(seq, e)
-    wg = Window.partitionBy(g).orderBy(seq, e)
-    live = F.col(spec.season) == spec.live_season
+    ek = [spec.season, spec.round]
     ls = spec.live_season
+    live = F.col(spec.season) == ls
+    if ge is None:
+        ge = group_event_table(df, spec)
+    # ---- prior events: cumulative sums over (group, venue), venue and group
+    prior = Window.unboundedPreceding
+    wgv = Window.partitionBy(g, v).orderBy(seq).rowsBetween(prior, -1)
+    wg = Window.partitionBy(g).orderBy(seq).rowsBetween(prior, -1)
+    gcols = {}
+    for name, (sc, cc) in {"fin": ("sum_finish", "cnt_finish"), "gp": ("constructor_points", "cnt_gp"),
+                           "fing": ("sum_finish", "cnt_finish"), "top10": ("sum_top10", "cnt_top10"),
+                           "quali": ("sum_quali", "cnt_quali"), "dnf": ("sum_dnf", "cnt_dnf")}.items():
+        win = wgv if name in ("fin", "gp") else wg
+        gcols[f"_pg_{name}_s"] = F.coalesce(F.sum(sc).over(win), F.lit(0))
+        gcols[f"_pg_{name}_c"] = F.coalesce(F.sum(cc).over(win), F.lit(0))
+    gprior = ge.filter(F.col(g).isNotNull()).withColumns(gcols).select(*ek, g, *gcols.keys())
+    evt = ge.groupBy(*ek, seq, v).agg(*[F.sum(c).alias(c) for c in ("sum_dnf", "cnt_dnf", "sum_delta", "cnt_delta")])
+    wv = Window.partitionBy(v).orderBy(seq).rowsBetween(prior, -1)
+    vprior = evt.select(*ek, *[F.coalesce(F.sum(c).over(wv), F.lit(0)).alias(f"_pv_{c}")
+                               for c in ("sum_dnf", "cnt_dnf", "sum_delta", "cnt_delta")])
+    # ---- same event, earlier entities
+    def nn(c):
+        return F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+
+    x = df.withColumns({
+        "_x_fin": nn(spec.finish), "_n_fin": F.col(spec.finish).isNotNull().cast("long"),
+        "_x_gp": nn("grand_prix_points"), "_n_gp": F.col("grand_prix_points").isNotNull().cast("long"),
+        "_x_top10": nn("target_top10"), "_n_top10": F.col("target_top10").isNotNull().cast("long"),
+        "_x_quali": nn(spec.quali), "_n_quali": F.col(spec.quali).isNotNull().cast("long"),
+        "_x_dnf": nn("is_dnf"), "_n_dnf": F.col("is_dnf").isNotNull().cast("long"),
+        "_x_delta": nn("grid_to_finish_delta"), "_n_delta": F.col("grid_to_finish_delta").isNotNull().cast("long"),
+    })
+    gvals = ["_x_fin", "_n_fin", "_x_gp", "_n_gp", "_x_top10", "_n_top10", "_x_quali", "_n_quali",
+             "_x_dnf", "_n_dnf"]
+    x = prefix_sums(x, [*ek, g], [(e, True)], gvals, out_prefix="_cg")
+    x = prefix_sums(x, ek, [(e, True)], ["_x_dnf", "_n_dnf", "_x_delta", "_n_delta"], out_prefix="_ce")
+    x = x.join(gprior, [*ek, g], "left").join(vprior, ek, "left")
+
+    def before(prefix, name, prior_s, prior_c):
+        # inclusive running totals minus the row itself = strictly earlier rows
+        s = F.col(f"{prefix}_x_{name}") - F.coalesce(F.col(f"_x_{name}"), F.lit(0.0))
+        c = F.col(f"{prefix}_n_{name}") - F.col(f"_n_{name}")
+        return (F.coalesce(prior_s, F.lit(0)) + s, F.coalesce(prior_c, F.lit(0)) + c)
+
+    def mean(sc):
+        return ratio(sc[0], sc[1])
+
+    def total(sc):
+        return F.when(sc[1] > 0, sc[0])
+
+    fin = before("_cg", "fin", F.col("_pg_fin_s"), F.col("_pg_fin_c"))
+    fin_g = before("_cg", "fin", F.col("_pg_fing_s"), F.col("_pg_fing_c"))
+    gp = before("_cg", "gp", F.col("_pg_gp_s"), F.col("_pg_gp_c"))
+    top = before("_cg", "top10", F.col("_pg_top10_s"), F.col("_pg_top10_c"))
+    qua = before("_cg", "quali", F.col("_pg_quali_s"), F.col("_pg_quali_c"))
+    dnf_g = before("_cg", "dnf", F.col("_pg_dnf_s"), F.col("_pg_dnf_c"))
+    dnf_v = before("_ce", "dnf", F.col("_pv_sum_dnf"), F.col("_pv_cnt_dnf"))
+    dlt_v = before("_ce", "delta", F.col("_pv_sum_delta"), F.col("_pv_cnt_delta"))
     cols = {
-        "constructor_avg_finish_on_circuit_before": F.avg(spec.finish).over(prior_rows(wgv)),
-        "constructor_points_on_circuit_before": F.sum("grand_prix_points").over(prior_rows(wgv)),
-        "circuit_dnf_rate_before": F.avg("is_dnf").over(prior_rows(wvv)),
-        "circuit_avg_grid_to_finish_delta_before": F.avg("grid_to_finish_delta").over(prior_rows(wvv)),
+        "constructor_avg_finish_on_circuit_before": mean(fin),
+        "constructor_points_on_circuit_before": total(gp).cast("bigint"),
+        "circuit_dnf_rate_before": mean(dnf_v),
+        "circuit_avg_grid_to_finish_delta_before": mean(dlt_v),
+        f"constructor_top10_rate_{ls}_before": F.when(live, mean(top)),
+        f"constructor_avg_finish_{ls}_before": F.when(live, mean(fin_g)),
+        f"constructor_avg_quali_{ls}_before": F.when(live, mean(qua)),
+        f"constructor_reliability_rate_{ls}_before": F.when(live, 1 - mean(dnf_g)),
     }
+    wrow = Window.partitionBy(g).orderBy(seq, e)
     for n in (3, 5):
         cols[f"constructor_recent_points_last_{n}_{ls}"] = F.when(
-            live, F.sum("event_points").over(prior_rows(wg, n)))
-    cols[f"constructor_top10_rate_{ls}_before"] = F.when(live, F.avg("target_top10").over(prior_rows(wg)))
-    cols[f"constructor_avg_finish_{ls}_before"] = F.when(live, F.avg(spec.finish).over(prior_rows(wg)))
-    cols[f"constructor_avg_quali_{ls}_before"] = F.when(live, F.avg(spec.quali).over(prior_rows(wg)))
-    cols[f"constructor_reliability_rate_{ls}_before"] = F.when(
-        live, 1 - F.avg("is_dnf").over(prior_rows(wg)))
-    return df.withColumns(cols)
+            live, F.sum("event_points").over(prior_rows(wrow, n)))
+    drop = [c for c in x.columns if c.startswith(("_x_", "_n_", "_cg_", "_ce_", "_pg_", "_pv_"))]
+    return x.withColumns(cols).drop(*drop)
 
 
 def dense_rank_table(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -295,7 +359,7 @@ def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: boo
         "grid_position_vs_teammate": F.col("grid_position") - F.col("teammate_grid_position"),
     })
     if spec.mode == "compat":
-        x = compat_row_level_features(x, spec)
+        x = compat_row_level_features(x, spec, ge)
 
     # W6 share of the event leader; the constructor maximum comes from a
     # per-event max over the group table (bounded by #events).
