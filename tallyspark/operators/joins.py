@@ -63,8 +63,8 @@ def lookup(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value:
                        *( [F.col(order_col).alias("_mo")] if order_col else []))
     if order_col:
         m = m.groupBy("_mk").agg(F.max_by("_mv", "_mo").alias("_mv"))
-    else:
-        m = m.dropDuplicates(["_mk"])
+    else:  # no order given: a deterministic choice among duplicate keys
+        m = m.groupBy("_mk").agg(F.max("_mv").alias("_mv"))
     x = df.join(m, df[key] == m["_mk"], "left").drop("_mk")
     val = F.col("_mv") if default is None else F.coalesce(F.col("_mv"), F.lit(default))
     return x.withColumn(out, val).drop("_mv")
@@ -77,8 +77,8 @@ def resolve_entities(external: DataFrame, internal: DataFrame, ext_id: str, ext_
 
     Two left joins on normalised keys (the internal side de-duplicated per
     key, lowest id wins) and a ``coalesce``; no Python loop."""
-    ext = (external.select(F.col(ext_id).alias("external_id"), F.col(ext_name).alias("external_name"))
-                   .dropDuplicates(["external_id"])
+    ext = (external.groupBy(F.col(ext_id).alias("external_id"))
+                   .agg(F.min(ext_name).alias("external_name"))  # one row per external id, deterministic
                    .withColumns({"_nref": normalizer(F.col("external_id")),
                                  "_nname": normalizer(F.col("external_name"))}))
     intl = internal.select(F.col(int_id).alias("_iid"), F.col(int_ref).alias("_iref"),
