@@ -35,11 +35,10 @@ UNB = Window.unboundedPreceding
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate to every row (a broadcast
-    equi-join on a constant key; the broadcast side is exactly one row)."""
-    return (df.withColumn("_one_key", F.lit(0))
-              .join(F.broadcast(one_row.withColumn("_one_key", F.lit(0))), "_one_key")
-              .drop("_one_key"))
+    """Attach the columns of a one-row aggregate to every row as scalar
+    subqueries (``DataFrame.scalar()``): evaluated once, inlined into the
+    projection, no join (Spark merges several of them into one subquery)."""
+    return df.withColumns({c: one_row.select(F.col(f"`{c}`")).scalar() for c in one_row.columns})
 
 
 def _numeric_key(df: DataFrame, col: str) -> Column:

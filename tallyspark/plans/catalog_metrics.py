@@ -269,8 +269,8 @@ def q_a20(spark, sf_dir):
     for c in IMPUTE_COLS:
         part = filled.agg(F.sum(F.col(f"raw_{c}").isNull().cast("int")).cast("bigint").alias("n_imputed"),
                           F.avg(c).alias("mean_after"))
-        part = part.join(med.select(F.col(c).alias("median")), how="inner") \
-            .select(F.lit(c).alias("feature"), "median", "n_imputed", "mean_after")
+        part = part.select(F.lit(c).alias("feature"), med.select(c).scalar().alias("median"),
+                           "n_imputed", "mean_after")
         out = part if out is None else out.unionByName(part)
     return present(out)
 
