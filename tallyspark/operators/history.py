@@ -288,12 +288,49 @@ def compat_row_level_features(df: DataFrame, spec: PanelSpec, ge: DataFrame | No
         f"constructor_avg_quali_{ls}_before": F.when(live, mean(qua)),
         f"constructor_reliability_rate_{ls}_before": F.when(live, 1 - mean(dnf_g)),
     }
-    wrow = Window.partitionBy(g).orderBy(seq, e)
+    x = x.withColumns(cols)
+    x = _compat_recent_rows(x, ge, spec)
+    drop = [c for c in x.columns if c.startswith(("_x_", "_n_", "_cg_", "_ce_", "_pg_", "_pv_"))]
+    return x.drop(*drop)
+
+
+def _compat_recent_rows(x: DataFrame, ge: DataFrame, spec: PanelSpec) -> DataFrame:
+    """F23 compat: sum of ``event_points`` over the previous n ROWS of the
+    group in (seq, entity) order, masked to the live season.
+
+    Each row gets its global position P in the group (rows of prior events,
+    a cumulative sum over the event x group table, plus its position inside
+    the event) and the running total C(P).  The sum over rows P-n..P-1 is
+    C(P-1) - C(P-n-1); C(P-1) is C(P) minus the row itself and C(P-n-1) is
+    looked up with an equi-join on (group, position) - no window over a
+    whole group."""
+    from .ordered import prefix_sums
+    g, e, seq = spec.group, spec.entity, spec.seq
+    ek = [spec.season, spec.round]
+    ls = spec.live_season
+    w = Window.partitionBy(g).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    prior = ge.filter(F.col(g).isNotNull()).select(
+        *ek, g, F.coalesce(F.sum("n_rows").over(w), F.lit(0)).alias("_rows_before"),
+        F.coalesce(F.sum("constructor_event_points").over(w), F.lit(0)).alias("_ep_before"))
+    y = x.withColumn("_ep", F.coalesce(F.col("event_points"), F.lit(0)).cast("long"))
+    y = prefix_sums(y, [*ek, g], [(e, True)], ["_ep"], out_prefix="_ry", with_position="_pin")
+    y = y.join(prior, [*ek, g], "left").withColumns({
+        "_P": F.col("_rows_before") + F.col("_pin"),
+        "_C": F.col("_ep_before") + F.col("_ry_ep"),
+    })
+    live = F.col(spec.season) == ls
+    look = y.select(F.col(g).alias("_g"), F.col("_P").alias("_Q"), F.col("_C").alias("_CQ"))
+    cols = {}
     for n in (3, 5):
+        t = look.select("_g", (F.col("_Q") + n + 1).alias("_Qn"), F.col("_CQ").alias(f"_c{n}"))
+        y = (y.withColumn("_k", F.col("_P"))
+              .join(t, (F.col(g) == F.col("_g")) & (F.col("_k") == F.col("_Qn")), "left")
+              .drop("_g", "_Qn", "_k"))
+        prev = F.col("_C") - F.col("_ep")
         cols[f"constructor_recent_points_last_{n}_{ls}"] = F.when(
-            live, F.sum("event_points").over(prior_rows(wrow, n)))
-    drop = [c for c in x.columns if c.startswith(("_x_", "_n_", "_cg_", "_ce_", "_pg_", "_pv_"))]
-    return x.withColumns(cols).drop(*drop)
+            live & (F.col("_P") > 1), prev - F.coalesce(F.col(f"_c{n}"), F.lit(0)))
+    y = y.withColumns(cols)
+    return y.drop("_ep", "_ry_ep", "_pin", "_rows_before", "_ep_before", "_P", "_C", "_c3", "_c5")
 
 
 def dense_rank_table(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:

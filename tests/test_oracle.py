@@ -61,7 +61,8 @@ def test_rows_only_queries_run(spark, name):
 
 @pytest.mark.parametrize("name", ["m1_classification_metrics", "m6_regression_metrics", "m9_ranking_metrics",
                                   "j10_allocate_ids", "j4_outer_join_indicator", "w2_venue_history_compat",
-                                  "w7_share_and_strength_rank", "fx_supplier_month_panel"])
+                                  "w7_share_and_strength_rank", "fx_supplier_month_panel",
+                                  "w12_live_season_history_compat"])
 def test_bucketed_plan_matches_oracle(spark, duck, name):
     """Force the bucketed running-total plan (the one taken for huge groups)
     and check the same oracle."""
