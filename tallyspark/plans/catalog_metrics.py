@@ -223,8 +223,8 @@ def q_m12(spark, sf_dir):
 
 
 @register("l3_sample_weights", with_prep() + """
-select season, case when season <= 1996 then 0.5 when season <= 1998 then 0.8 when season <= 2000 then 1.0
-                    else 2.0 end as weight, cast(count(*) as bigint) as n_rows from p group by season""", "L3")
+select season, cast(case when season <= 1996 then 0.5 when season <= 1998 then 0.8 when season <= 2000 then 1.0
+                    else 2.0 end as double) as weight, cast(count(*) as bigint) as n_rows from p group by season""", "L3")
 def q_l3(spark, sf_dir):
     p = prepared_panel(spark, sf_dir).withColumn("weight", SPL.season_weight(SP))
     return p.groupBy("season", "weight").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))

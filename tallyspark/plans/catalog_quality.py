@@ -286,7 +286,7 @@ def _schedule(p):
 
 @register("j12_schedule_coverage", with_prep() + f"""
 select s.season, s.round, case when c.round is null then 0 else 1 end as completed
-from (select distinct season, unnest(range(1, 13)) as round from p where season = {LIVE}) s
+from (select distinct season, cast(unnest(range(1, 13)) as int) as round from p where season = {LIVE}) s
 left join (select distinct season, round from p) c on s.season = c.season and s.round = c.round""", "J12")
 def q_j12(spark, sf_dir):
     p = base_panel(spark, sf_dir)
@@ -296,7 +296,7 @@ def q_j12(spark, sf_dir):
 
 @register("j12_absent_rounds", with_prep() + f"""
 select s.season, s.round
-from (select distinct season, unnest(range(1, 13)) as round from p where season = {LIVE}) s
+from (select distinct season, cast(unnest(range(1, 13)) as int) as round from p where season = {LIVE}) s
 where not exists (select 1 from p where p.season = s.season and p.round = s.round)""", "J12,J9")
 def q_j12b(spark, sf_dir):
     p = base_panel(spark, sf_dir)
