@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import history as H
 from ..spec import DEFAULT_SPEC
 from ..sources.fixture import PANEL_SQL

@@ -9,7 +9,7 @@ from ..operators import profile as PR
 from ..operators import quality as Q
 from ..sources.tables import load_profile, read_table
 from ..spec import DEFAULT_SPEC, DEFAULT_SPLIT
-from .catalog_history import DRIVER_FORM_COLS, _driver_form_sql
+from .catalog_history import _driver_form_sql
 from .panel import base_panel, feature_panel, prepared_panel
 from .registry import present, register
 from .sqltext import with_prep
@@ -330,11 +330,11 @@ def q_o6(spark, sf_dir):
     return PR.deterministic_sample(p, 2500, key).select("driver_id", "season", "round", "position_order")
 
 
-@register("o7_most_active_timeline", with_prep() + """,
-c as (select driver_id, count(*) as n from p where season between 1996 and 1999 group by driver_id),
-best as (select driver_id from c order by n desc, driver_id limit 1)
+@register("o7_most_active_timeline", with_prep(
+    "c as (select driver_id, count(*) as n from p where season between 1996 and 1999 group by driver_id)",
+    "best as (select driver_id from c order by n desc, driver_id limit 1)") + """
 select p.driver_id, p.season, p.round, p.position_order, p.points from p join best using (driver_id)
-where p.season between 1996 and 1999""".replace("\n,\nc as", ",\nc as"), "O7")
+where p.season between 1996 and 1999""", "O7")
 def q_o7(spark, sf_dir):
     p = base_panel(spark, sf_dir)
     return PR.most_active_timeline(p, "driver_id", ["season", "round"],
