@@ -137,23 +137,28 @@ def results_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataF
     return pages.select("season", "_page", F.to_json(doc).alias("json"))
 
 
-def standings_pages(panel: DataFrame) -> DataFrame:
+def standings_pages(panel: DataFrame, limit: int = 30) -> DataFrame:
     """Driver standings after every round (cumulative season points, rank by
-    points then entity), nested one document per (season, round)."""
+    points then entity), paginated: a (season, round) list is split into
+    documents of at most ``limit`` entries (``page = (rank - 1) div limit``),
+    so no collected group grows with the number of entities; a reader simply
+    appends the pages."""
     from pyspark.sql import Window
     w = Window.partitionBy("season", "driver_id").orderBy("event_seq").rowsBetween(Window.unboundedPreceding, 0)
     x = panel.withColumn("_cum", F.sum("points").over(w))
     x = position_within(x, ["season", "round"], [("_cum", False), ("driver_id", True)], "_rank")
+    x = x.withColumn("_page", F.floor((F.col("_rank") - 1) / limit))
     entry = F.struct(F.col("_rank").alias("_k"), F.col("_rank").cast("string").alias("position"),
                      F.col("_cum").cast("string").alias("points"),
                      _driver_struct("driver_name", "driver_id").alias("Driver"))
-    lists = x.groupBy("season", "round").agg(F.sort_array(F.collect_list(entry)).alias("_st"))
+    lists = x.groupBy("season", "round", "_page").agg(F.sort_array(F.collect_list(entry)).alias("_st"))
     doc = F.struct(F.struct(
+        F.lit(str(limit)).alias("limit"), (F.col("_page") * limit).cast("string").alias("offset"),
         F.struct(F.col("season").cast("string").alias("season"), F.array(F.struct(
             F.col("season").cast("string").alias("season"), F.col("round").cast("string").alias("round"),
             F.transform("_st", lambda r: r.dropFields("_k")).alias("DriverStandings"))).alias("StandingsLists")
         ).alias("StandingsTable")).alias("MRData"))
-    return lists.select("season", "round", F.to_json(doc).alias("json"))
+    return lists.select("season", "round", "_page", F.to_json(doc).alias("json"))
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
