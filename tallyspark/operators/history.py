@@ -251,10 +251,13 @@ def compat_row_level_features(df: DataFrame, spec: PanelSpec, ge: DataFrame | No
         "_x_quali": nn(spec.quali), "_n_quali": F.col(spec.quali).isNotNull().cast("long"),
         "_x_dnf": nn("is_dnf"), "_n_dnf": F.col("is_dnf").isNotNull().cast("long"),
         "_x_delta": nn("grid_to_finish_delta"), "_n_delta": F.col("grid_to_finish_delta").isNotNull().cast("long"),
+        "_ep": F.coalesce(F.col("event_points"), F.lit(0)).cast("long"),
     })
     gvals = ["_x_fin", "_n_fin", "_x_gp", "_n_gp", "_x_top10", "_n_top10", "_x_quali", "_n_quali",
-             "_x_dnf", "_n_dnf"]
-    x = prefix_sums(x, [*ek, g], [(e, True)], gvals, out_prefix="_cg")
+             "_x_dnf", "_n_dnf", "_ep"]
+    # one pass per (event, group) in entity order: running totals for the
+    # expanding features, and event points + position for the rows-based F23
+    x = prefix_sums(x, [*ek, g], [(e, True)], gvals, out_prefix="_cg", with_position="_pin")
     x = prefix_sums(x, ek, [(e, True)], ["_x_dnf", "_n_dnf", "_x_delta", "_n_delta"], out_prefix="_ce")
     x = x.join(gprior, [*ek, g], "left").join(vprior, ek, "left")
 
@@ -304,19 +307,18 @@ def _compat_recent_rows(x: DataFrame, ge: DataFrame, spec: PanelSpec) -> DataFra
     C(P-1) - C(P-n-1); C(P-1) is C(P) minus the row itself and C(P-n-1) is
     looked up with an equi-join on (group, position) - no window over a
     whole group."""
-    from .ordered import prefix_sums
-    g, e, seq = spec.group, spec.entity, spec.seq
+    g, seq = spec.group, spec.seq
     ek = [spec.season, spec.round]
     ls = spec.live_season
     w = Window.partitionBy(g).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     prior = ge.filter(F.col(g).isNotNull()).select(
         *ek, g, F.coalesce(F.sum("n_rows").over(w), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("constructor_event_points").over(w), F.lit(0)).alias("_ep_before"))
-    y = x.withColumn("_ep", F.coalesce(F.col("event_points"), F.lit(0)).cast("long"))
-    y = prefix_sums(y, [*ek, g], [(e, True)], ["_ep"], out_prefix="_ry", with_position="_pin")
-    y = y.join(prior, [*ek, g], "left").withColumns({
+    # expects ``_ep`` (event points), its running total ``_cg_ep`` and the
+    # position ``_pin`` inside (event, group), from compat_row_level_features
+    y = x.join(prior, [*ek, g], "left").withColumns({
         "_P": F.col("_rows_before") + F.col("_pin"),
-        "_C": F.col("_ep_before") + F.col("_ry_ep"),
+        "_C": F.col("_ep_before") + F.col("_cg_ep"),
     })
     live = F.col(spec.season) == ls
     look = y.select(F.col(g).alias("_g"), F.col("_P").alias("_Q"), F.col("_C").alias("_CQ"))
@@ -330,7 +332,7 @@ def _compat_recent_rows(x: DataFrame, ge: DataFrame, spec: PanelSpec) -> DataFra
         cols[f"constructor_recent_points_last_{n}_{ls}"] = F.when(
             live & (F.col("_P") > 1), prev - F.coalesce(F.col(f"_c{n}"), F.lit(0)))
     y = y.withColumns(cols)
-    return y.drop("_ep", "_ry_ep", "_pin", "_rows_before", "_ep_before", "_P", "_C", "_c3", "_c5")
+    return y.drop("_ep", "_cg_ep", "_pin", "_rows_before", "_ep_before", "_P", "_C", "_c3", "_c5")
 
 
 def dense_rank_table(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
