@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_token_records, op4_mixing, op6_url_filter
+from . import op1_warc, op3_token_records, op4_mixing, op6_url_filter, op9_topk, op10_hyperminhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +26,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_warc_archive(spark, sf_dir):
+    got = op1_warc.archive(spark, table(spark, sf_dir, "pages"))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
+
+
 @query
 def op3_token_records_of_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -42,3 +48,31 @@ def op6_url_verdicts(spark, sf_dir):
     model = op6_url_filter.train(op6_url_filter.labelled_urls(spark))
     got = op6_url_filter.judge_urls(table(spark, sf_dir, "pages"), model, keep=("page_id",))
     return got.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op9_exact_top_k(spark, sf_dir):
+    vectors = op9_topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return op9_topk.top_k(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
+ORACLE_SQL["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op10_near_duplicates(spark, sf_dir):
+    got = op10_hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return got.select("doc_id", "n_shingles", "component_id", "kept", "links")

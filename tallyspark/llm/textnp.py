@@ -54,11 +54,7 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
-def words(column, separators: np.ndarray = _SPACE) -> Words:
-    """Words of each text: runs of bytes outside ``separators`` (default: the
-    space and 9 to 13), with A-Z lower-cased."""
-    data, offsets = flat(column)
-    data = _LOWER[data]
+def _bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = ~separators[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -67,10 +63,29 @@ def words(column, separators: np.ndarray = _SPACE) -> Words:
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | edge[1:-1]
     start = np.flatnonzero(begins)
-    length = np.flatnonzero(ends) + 1 - start
+    return inside, start, np.flatnonzero(ends) + 1 - start
+
+
+def words(column, separators: np.ndarray = _SPACE) -> Words:
+    """Words of each text: runs of bytes outside ``separators`` (default: the
+    space and 9 to 13), with A-Z lower-cased."""
+    data, offsets = flat(column)
+    data = _LOWER[data]
+    _, start, length = _bounds(data, offsets, separators)
     return Words(data, offsets, start, length, _hash_words(data, start, length), np.searchsorted(start, offsets))
 
 
+def split(column, lower: bool) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as one array of strings, and where each text's
+    begin in it."""
+    data, offsets = flat(column)
+    data = _LOWER[data] if lower else data
+    inside, start, length = _bounds(data, offsets, _SPACE)
+    at = np.concatenate([[0], np.cumsum(length)])
+    out = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(at), pa.py_buffer(data[inside])])
+    return out, np.searchsorted(start, offsets)
+
+
 def _hash_words(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray(max(0, len(padded) - 7), "<u8", padded, 0, (1,))
@@ -94,7 +109,7 @@ def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
     m = len(hashes) - n + 1
     if m <= 0:
         return np.zeros(0, U)
-    out = np.full(m, U(n) * U(0xA24BAED4963EE407))
+    out = np.full(m, n * 0xA24BAED4963EE407 % (1 << 64), U)
     for j in range(n):
         out = mix(out ^ hashes[j:j + m]) + U(j + 1)
     return out
