@@ -1,21 +1,63 @@
 """Corpus pipeline: stages over ``documents``, each written as Parquet and read
-again as the next one's input."""
+again as the next one's input.
+
+All but the last return the columns of ``documents``; a stage works on every
+row that its predecessor kept.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyspark.llm import (catalog, common, op3_token_records, op4_mixing, op5_decontaminate, op8_language,
+                            op10_hyperminhash)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or in no known language, go."""
+    return op8_language.accepted(docs, op8_language.identify(docs, op8_language.train(docs)))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays (the smallest id)."""
+    judged = common.store(op10_hyperminhash.near_duplicates(docs), "pipeline-near")
+    gone = common.hinted(judged.where("NOT kept").select(F.col("doc_id").alias("gone")).distinct())
+    left = docs.join(gone, docs.doc_id.eqNullSafe(gone.gone), "left_anti")
+    again = judged.where("kept").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return left.dropDuplicates(["doc_id"]) if again else left
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return op5_decontaminate.clean(docs, op5_decontaminate.contaminated(docs, catalog.table(spark, sf_dir, "benchmark")))
 
-from tallyspark.llm import catalog, common, op3_token_records
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: taken / size copies, a rest
+    below one by a draw from the id."""
+    mixed = op4_mixing.mix(docs)
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit("copy:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 8), 16, 10) / float(1 << 32)
+    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + draw)).otherwise(0).cast("int")
+    times = common.store(mixed.select(F.col("doc_id").alias("of"), copies.alias("copies")).where("copies > 0").groupBy("of").agg(F.max("copies").alias("copies")), "pipeline-mix")
+    times = common.hinted(times)
+    taken = docs.join(times, docs.doc_id.eqNullSafe(times.of))
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token records, written and read back."""
     return op3_token_records.token_records(spark, docs, catalog.tokenizer_path(), end_id=2)
 
 
-STAGES = [("token-ID / binary output", token_records)]
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", token_records),
+]
 
-#: The stages run a tokenizer and trained statistics, which SQL cannot express.
+#: The stages train models, hash sets and run a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
 
 

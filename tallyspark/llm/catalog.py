@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_warc, op3_token_records, op4_mixing, op6_url_filter, op9_topk, op10_hyperminhash
+from . import (op1_warc, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op8_language, op9_topk,
+               op10_hyperminhash)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -43,6 +44,11 @@ def op4_mix_sources(spark, sf_dir):
     return op4_mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_benchmark_leaks(spark, sf_dir):
+    return op5_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_url_verdicts(spark, sf_dir):
     model = op6_url_filter.train(op6_url_filter.labelled_urls(spark))
@@ -50,6 +56,13 @@ def op6_url_verdicts(spark, sf_dir):
     return got.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op8_languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    got = op8_language.identify(docs, op8_language.train(docs))
+    return got.select("doc_id", "declared", "language", "confidence", "rejected")
+
+
 @query
 def op9_exact_top_k(spark, sf_dir):
     vectors = op9_topk.integer_vectors(table(spark, sf_dir, "embeddings"))
