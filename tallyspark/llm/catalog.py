@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (op1_warc, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op8_language, op9_topk,
-               op10_hyperminhash)
+from . import (op1_warc, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op7_line_dedup, op8_language,
+               op9_topk, op10_hyperminhash)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -56,6 +56,11 @@ def op6_url_verdicts(spark, sf_dir):
     return got.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op7_line_dedup_of_documents(spark, sf_dir):
+    return op7_line_dedup.duplicate_lines(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_languages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -36,3 +36,23 @@ def near_duplicates(rows, n, percent=80):
     links = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     comp = components(sets, links)
     return {i: (len(s), comp[i]) for i, s in sets.items()}
+
+
+def duplicate_lines(rows):
+    """{id: removed line numbers} by comparing every line with all earlier ones that share a word."""
+    lines = [(i, p, frozenset(pieces(x))) for i, t in rows for p, x in enumerate(t.split("\n") if t else [])]
+    lines = sorted((x for x in lines if x[2]), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    out, where = {i: [] for i, _ in rows}, {}
+    firsts = {}
+    for i, p, s in lines:
+        if s in firsts:
+            out[i] += [p] if firsts[s] != (i, p) else []
+        near = {k for w in s for k in where.get(w, ())}
+        linked = s in firsts or any(5 * len(s & k) >= 4 * len(s | k) for k in near)
+        if linked and p not in out[i]:
+            out[i].append(p)
+        if s not in firsts:
+            firsts[s] = i, p
+            for w in s:
+                where.setdefault(w, []).append(s)
+    return {i: sorted(v) for i, v in out.items()}
