@@ -13,9 +13,10 @@ manifest, so a lost or repeated task leaves no half file behind.
 
 Encoding: the tokenizer splits at white space before anything else, so a text
 is encoded word by word and each distinct word of a slice only once. Words of
-ASCII letters, with or without a tail of ``.,;:!?``, go straight to the BPE
-model, as the normaliser and the splitter leave them as they are; every other
-word goes through the whole tokenizer. ``tests/llm`` compares with plain
+ASCII letters, with or without a tail of ASCII punctuation, go straight to the BPE
+model, as the normaliser and the splitter leave them as they are (Latin-1
+letters too, lower-cased and written as bytes); every other word goes through
+the whole tokenizer. ``tests/llm`` compares with plain
 ``encode`` calls.
 
 Defined cases: a null text counts as empty (one end id); null ids come first;
@@ -30,6 +31,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +39,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, textnp
 
 SHARD_BYTES = 32 << 20
 SLICE_BYTES = 16 << 20
 MANIFEST = "shard int, part string, path string, index_path string, records long, n_tokens long"
 _HEAD, _BODY = "<QI", "<qBB"
-_PLAIN = re.compile(r"([a-z]+)([.,;:!?]*)")
+#: Words that are known by heart in a task; later ones are encoded in each slice that has them.
+CACHED_WORDS = 150_000
+_PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+_LATIN_LOWER = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
+#: How byte-level BPE writes the bytes of UTF-8 that are no printable Latin-1 character.
+_BYTE_CHAR = {b: 289 + b - 127 for b in range(127, 161)} | {173: 323}
 
 
 def masked_crc(data: bytes) -> int:
@@ -61,42 +68,43 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tails: dict[str, list[int]] = {"": []}
+        self.known: dict[str, list[int]] = {}
 
     def word(self, text: str) -> list[int] | None:
         """Ids of a plain word, None for one that needs the whole tokenizer."""
+        if not text.isascii():
+            text = text.translate(_LATIN_LOWER)
         m = _PLAIN.fullmatch(text)
         if m is None:
             return None
-        ids = [t.id for t in self.tokenizer.model.tokenize(m[1])]
+        stem = m[1] if m[1].isascii() else m[1].encode().decode("latin-1").translate(_BYTE_CHAR)
+        ids = [t.id for t in self.tokenizer.model.tokenize(stem)]
         if m[2] not in self.tails:
             self.tails[m[2]] = self.tokenizer.encode(m[2], add_special_tokens=False).ids
         return ids + self.tails[m[2]]
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a column of texts and the offset of each text's."""
-        column = pc.fill_null(column.cast(pa.large_string()), "")
-        if not pc.any(pc.match_substring(column, "<|")).as_py():  # special tokens are told apart by case
-            column = pc.ascii_lower(column)
-        split = pc.ascii_split_whitespace(column)
-        words = pc.list_flatten(split)
-        if isinstance(words, pa.ChunkedArray):
-            words = words.combine_chunks()
+        # special tokens are told apart by case
+        words, first = textnp.split(column, lower=not pc.any(pc.match_substring(column, "<|")).as_py())
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        ids = [self.word(w) if w else [] for w in distinct]
+        known = self.known
+        ids = [known.get(w) or self.word(w) for w in distinct]
         rest = [i for i, x in enumerate(ids) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch([distinct[i] for i in rest], add_special_tokens=False),
                         strict=True):
             ids[i] = e.ids
+        if len(known) < CACHED_WORDS:
+            known.update(zip(distinct, ids, strict=True))
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((t for x in ids for t in x), np.uint32, int(size.sum()))
+        flat = np.array(list(chain.from_iterable(ids)), np.uint32)
         at = np.concatenate([[0], np.cumsum(size)])
         index = coded.indices.to_numpy(zero_copy_only=False)
         n = size[index]
         upto = np.concatenate([[0], np.cumsum(n)])
         where = np.repeat(at[index] - upto[:-1], n) + np.arange(upto[-1])
-        per_text = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        return flat[where], upto[per_text]
+        return flat[where], upto[first]
 
 
 def write_shards(docs: DataFrame, out: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
