@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (op1_warc, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op7_line_dedup, op8_language,
+from . import (op1_warc, op2_suffix_dedup, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op7_line_dedup, op8_language,
                op9_topk, op10_hyperminhash)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_warc_archive(spark, sf_dir):
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
 
 
+@query
+def op2_suffix_dedup_of_documents(spark, sf_dir):
+    return op2_suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_token_records_of_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

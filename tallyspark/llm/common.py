@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyspark.session import ensure_checkpoint_dir
 
 #: Rows up to which a key list (ids, pairs of ids) may be broadcast; beyond it the same join is shuffled.
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 500_000
 
 
 def work_path(spark: SparkSession, tag: str) -> str:
@@ -40,6 +40,11 @@ def hinted(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, limit) else df
 
 
+def hinted_bytes(df: DataFrame, size, limit: int) -> DataFrame:
+    """``df`` with a broadcast hint if the sum of the column ``size`` allows one."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= limit else df
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder or file that all executors share."""
     if "://" not in uri and not uri.startswith("file:"):

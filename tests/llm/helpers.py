@@ -56,3 +56,20 @@ def duplicate_lines(rows):
             for w in s:
                 where.setdefault(w, []).append(s)
     return {i: sorted(v) for i, v in out.items()}
+
+
+def repeated_bytes(rows, length=100):
+    """[(n_bytes, n_removed, n_spans, kept bytes)] in the order of ``rows`` (id, text), which is by id."""
+    seen, out = set(), []
+    for _, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for s in range(len(data) - length + 1):
+            piece = data[s:s + length]
+            if piece in seen:
+                gone[s:s + length] = b"\1" * length
+            seen.add(piece)
+        kept = bytes(x for x, g in zip(data, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((len(data), sum(gone), spans, kept))
+    return out
