@@ -30,7 +30,20 @@ def tokenizer_path() -> str:
 @query
 def op1_warc_archive(spark, sf_dir):
     got = op1_warc.archive(spark, table(spark, sf_dir, "pages"))
-    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE_SQL["op1_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last_id
+  FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last_id AND last_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last_id THEN last_id END AS refers_to
+FROM p
+"""
 
 
 @query
@@ -81,12 +94,12 @@ def op9_exact_top_k(spark, sf_dir):
 
 ORACLE_SQL["op9_exact_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
 ), r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
@@ -98,4 +111,32 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 @query
 def op10_near_duplicates(spark, sf_dir):
     got = op10_hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
-    return got.select("doc_id", "n_shingles", "component_id", "kept", "links")
+    return got.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLE_SQL["op10_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN ws ELSE ws[i:i + 3] END AS g
+  FROM w, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1)) + 1)) AS u(i)
+), n AS (
+  SELECT w.doc_id, count(s.g) AS n_shingles FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id
+), both_sets AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM both_sets JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n_shingles + y.n_shingles - c)
+), reach AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least_id AS (
+  SELECT a, min(b) AS m FROM reach GROUP BY a
+)
+SELECT n.doc_id, CAST(n.n_shingles AS BIGINT) AS n_shingles, least(n.doc_id, coalesce(m, n.doc_id)) AS component_id,
+       n.doc_id = least(n.doc_id, coalesce(m, n.doc_id)) AS kept
+FROM n LEFT JOIN least_id ON n.doc_id = least_id.a
+"""

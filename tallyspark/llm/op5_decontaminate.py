@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from . import common, textnp
 
-SEED_WORDS = 4
+SEED_WORDS = 3
+RARE = 0.75
 THRESHOLD = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Items whose words are sent to all tasks at once.
@@ -109,13 +110,13 @@ class Items:
         return np.concatenate(text), np.concatenate(at), np.concatenate(number)
 
     def rarest(self, documents: np.ndarray) -> np.ndarray:
-        """Entries at or below the median document frequency of their item."""
+        """Entries up to the ``RARE`` quantile of document frequency in their item."""
         seen = documents[self.number]
         out = np.zeros(len(seen), bool)
         edge = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
         for a, b in zip(edge[:-1], edge[1:], strict=True):
             if b > a:
-                out[a:b] = seen[a:b] <= np.sort(seen[a:b])[(b - a - 1) // 2]
+                out[a:b] = seen[a:b] <= np.sort(seen[a:b])[int((b - a - 1) * RARE)]
         return out
 
     def matches(self, w: textnp.Words, threshold: float) -> Iterator[tuple[int, int, float, int]]:
