@@ -44,22 +44,61 @@ def is_dnf(finish: Column, status: Column) -> Column:
                   (~F.coalesce(status, F.lit("")).rlike(FINISHED_PATTERN)).cast("int"))
 
 
-def clean_base(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Coerced types, missing-qualifying flag, grid 0 -> null."""
-    return df.withColumns({
+def coerce_types(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Numbers that arrive as text become numbers, text that is no number
+    becomes null; columns that are numeric already stay as they are."""
+    numbers = {spec.season: "int", spec.round: "int", spec.grid: "int", spec.quali: "int", spec.finish: "int",
+               spec.points: "double"}
+    text = {f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "varchar", "char")}
+    return df.withColumns({c: coerce_numeric(c, to) for c, to in numbers.items() if c in text})
+
+
+def start_columns(spec: PanelSpec) -> dict[str, Column]:
+    """What is known once the starting order is."""
+    return {
         "missing_qualifying": F.col(spec.quali).isNull().cast("int"),
         "grid_position": F.nullif(F.col(spec.grid), F.lit(0)),
-    })
+    }
 
 
-def add_targets(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def start_flags(spec: PanelSpec) -> dict[str, Column]:
+    """Deltas and thresholds of the starting order."""
+    grid_pos, quali = F.col("grid_position"), F.col(spec.quali)
+    return {
+        "grid_vs_quali_delta": grid_pos - quali,
+        **{f"qualified_top{n}": le_or_zero(quali, n) for n in (3, 10)},
+        **{f"started_top{n}": le_or_zero(grid_pos, n) for n in (3, 10)},
+    }
+
+
+def calendar_columns(spec: PanelSpec) -> dict[str, Column]:
+    """What the calendar alone says about an event."""
+    return {
+        "sprint_weekend_flag": ((F.col(spec.season) == spec.live_season)
+                                & F.col(spec.round).isin(list(spec.sprint_rounds))).cast("int"),
+        "race_round": F.col(spec.round),
+        f"is_{spec.live_season}_regulation": (F.col(spec.season) >= spec.live_season).cast("int"),
+    }
+
+
+def target_columns(spec: PanelSpec) -> dict[str, Column]:
     """Targets; SQL null propagation keeps unknown results null."""
     fin = F.col(spec.finish)
-    return df.withColumns({
+    return {
         "target_top10": (fin <= 10).cast("int"),
         "target_podium": (fin <= 3).cast("int"),
         "target_points": F.col(spec.points).cast("double"),
-    })
+    }
+
+
+def clean_base(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Coerced types, missing-qualifying flag, grid 0 -> null."""
+    df = coerce_types(df, spec)
+    return df.withColumns(start_columns(spec))
+
+
+def add_targets(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    return df.withColumns(target_columns(spec))
 
 
 def add_points_split(df: DataFrame, spec: PanelSpec,
@@ -72,24 +111,15 @@ def add_points_split(df: DataFrame, spec: PanelSpec,
         "sprint_points": sprint,
     }).withColumns({
         "event_points": F.coalesce("grand_prix_points", F.lit(0)) + F.coalesce("sprint_points", F.lit(0)),
-        "sprint_weekend_flag": ((F.col(spec.season) == spec.live_season)
-                                & F.col(spec.round).isin(list(spec.sprint_rounds))).cast("int"),
     })
 
 
 def add_row_flags(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """Deltas, threshold flags, race_round, regulation and DNF flags."""
-    grid_pos, quali, fin = F.col("grid_position"), F.col(spec.quali), F.col(spec.finish)
     return df.withColumns({
-        "grid_vs_quali_delta": grid_pos - quali,
-        "qualified_top3": le_or_zero(quali, 3),
-        "qualified_top10": le_or_zero(quali, 10),
-        "started_top3": le_or_zero(grid_pos, 3),
-        "started_top10": le_or_zero(grid_pos, 10),
-        "race_round": F.col(spec.round),
-        f"is_{spec.live_season}_regulation": (F.col(spec.season) >= spec.live_season).cast("int"),
-        "is_dnf": is_dnf(fin, F.col(spec.status)),
-        "grid_to_finish_delta": fin - grid_pos,
+        **start_flags(spec), **calendar_columns(spec),
+        "is_dnf": is_dnf(F.col(spec.finish), F.col(spec.status)),
+        "grid_to_finish_delta": F.col(spec.finish) - F.col("grid_position"),
     })
 
 

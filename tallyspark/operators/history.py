@@ -63,7 +63,7 @@ def running_total_before(x: str, w, compat: bool) -> Column:
 # entity grain
 # --------------------------------------------------------------------------
 
-def entity_history(df: DataFrame, spec: PanelSpec) -> DataFrame:
+def entity_columns(spec: PanelSpec) -> dict[str, Column]:
     """F1-F6, F11, F12, F16, F22 and the driver half of F24-F26."""
     e, seq = spec.entity, spec.seq
     w = Window.partitionBy(e).orderBy(seq)
@@ -99,7 +99,11 @@ def entity_history(df: DataFrame, spec: PanelSpec) -> DataFrame:
     cols[f"driver_avg_quali_{ls}_before"] = F.when(live, F.avg(spec.quali).over(prior_rows(wl)))
     cols[f"driver_reliability_rate_{ls}_before"] = F.when(
         live, 1 - F.avg("is_dnf").over(prior_rows(wl)))
-    return df.withColumns(cols)
+    return cols
+
+
+def entity_history(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    return df.withColumns(entity_columns(spec))
 
 
 # --------------------------------------------------------------------------
@@ -138,18 +142,9 @@ def group_event_table(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.groupBy(*keys).agg(*aggs)
 
 
-def group_history(ge: DataFrame, spec: PanelSpec) -> DataFrame:
+def group_columns(spec: PanelSpec) -> dict[str, Column]:
     """F7-F10, F13, strict F17 and strict group half of F23-F26 on A1 rows."""
     g, seq = spec.group, spec.seq
-    cr = ge.filter(F.col(g).isNotNull())  # null group keys are not a group
-    cr = cr.withColumns({
-        "constructor_finish": ratio(F.col("sum_finish"), F.col("cnt_finish")),
-        "constructor_top10": ratio(F.col("sum_top10"), F.col("cnt_top10")),
-        "constructor_podium": ratio(F.col("sum_podium"), F.col("cnt_podium")),
-        "constructor_dnf": ratio(F.col("sum_dnf"), F.col("cnt_dnf")),
-        "constructor_grid": ratio(F.col("sum_grid"), F.col("cnt_grid")),
-        "constructor_quali": ratio(F.col("sum_quali"), F.col("cnt_quali")),
-    })
     w = Window.partitionBy(g).orderBy(seq)
     ws = Window.partitionBy(spec.season, g).orderBy(seq)
     wv = Window.partitionBy(g, spec.venue).orderBy(seq)
@@ -184,7 +179,14 @@ def group_history(ge: DataFrame, spec: PanelSpec) -> DataFrame:
                                             F.sum(f"cnt_{feat}").over(prior_rows(ws))))
         cols[f"constructor_reliability_rate_{ls}_before"] = F.when(
             live, 1 - ratio(F.sum("sum_dnf").over(prior_rows(ws)), F.sum("cnt_dnf").over(prior_rows(ws))))
-    return cr.withColumns(cols)
+    return cols
+
+
+def group_history(ge: DataFrame, spec: PanelSpec) -> DataFrame:
+    cr = ge.filter(F.col(spec.group).isNotNull())  # null group keys are not a group
+    means = ("finish", "top10", "podium", "dnf", "grid", "quali")
+    cr = cr.withColumns({f"constructor_{c}": ratio(F.col(f"sum_{c}"), F.col(f"cnt_{c}")) for c in means})
+    return cr.withColumns(group_columns(spec))
 
 
 def event_table(ge: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -354,7 +356,30 @@ def dense_rank_desc_within(df: DataFrame, keys: list[str], value: str, out: str)
     return df.join(dense_rank_table(df, keys, value, out), [*keys, value], "left")
 
 
-GROUP_FEATURE_PREFIXES = ("constructor_", "races_completed_current_season_before_constructor")
+VENUE_FEATURES = ("circuit_dnf_rate_before", "circuit_avg_grid_to_finish_delta_before")
+STRENGTH_RANKS = {f"{who}_points_before_season": f"{who}_strength_rank_before" for who in ("driver", "constructor")}
+TEAMMATE_HISTORY = {"teammate_recent_points_last_5": "driver_points_last_5"}
+
+
+def teammate_start(spec: PanelSpec) -> dict[str, str]:
+    """Teammate column -> own column, for the starting order."""
+    return {"teammate_quali_position": spec.quali, "teammate_grid_position": "grid_position"}
+
+
+def standing_columns() -> dict[str, Column]:
+    """W6 share of the event leader and the official standings."""
+    out = {}
+    for who in ("driver", "constructor"):
+        out[f"{who}_points_share_before"] = ratio(F.col(f"{who}_points_before_season"), F.col(f"ev_max_{who}_points"))
+        out[f"{who}_official_standings_points_before"] = F.col(f"{who}_event_points_before_season")
+    return out
+
+
+def cold_start_columns() -> dict[str, Column]:
+    """no history yet, told by the column that every history has."""
+    seen = {"driver": "driver_avg_finish_last_5", "constructor": "constructor_avg_finish_last_5",
+            "circuit": "driver_avg_finish_on_circuit_before"}
+    return {f"missing_{what}_history": F.col(c).isNull().cast("int") for what, c in seen.items()}
 
 
 def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: bool = True) -> DataFrame:
@@ -374,29 +399,17 @@ def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: boo
     ek = [spec.season, spec.round]
     gk = [*ek, spec.group]
 
-    group_cols = [c for c in cr.columns if c.startswith("constructor_") and c not in (
-        "constructor_points", "constructor_event_points", "constructor_finish", "constructor_top10",
-        "constructor_podium", "constructor_dnf", "constructor_grid", "constructor_quali")]
-    group_cols.append("races_completed_current_season_before_constructor")
+    group_cols = list(group_columns(spec))
     tm_cols = [c for c in ge.columns if c.startswith("tm_")]
     # m:1 by construction: the group-event table is grouped by these keys.
     x = x.join(cr.select(*gk, *group_cols, *tm_cols), gk, "left")
-    ev_cols = ["ev_max_driver_points"] + [c for c in ("circuit_dnf_rate_before",
-                                                      "circuit_avg_grid_to_finish_delta_before")
-                                          if c in ev.columns]
+    ev_cols = ["ev_max_driver_points"] + [c for c in VENUE_FEATURES if c in ev.columns]
     x = x.join(ev.select(*ek, *ev_cols), ek, "left")
 
     # W5 teammate values: partition total minus self, null unless count > 1.
-    cols: dict[str, Column] = {}
-    for srcc, target in ((spec.quali, "teammate_quali_position"),
-                         ("grid_position", "teammate_grid_position"),
-                         ("driver_points_last_5", "teammate_recent_points_last_5")):
-        cols[target] = F.when(F.col(f"tm_cnt_{srcc}") > 1, F.col(f"tm_sum_{srcc}") - F.col(srcc))
-    x = x.withColumns(cols).drop(*tm_cols)
-    x = x.withColumns({
-        "quali_position_vs_teammate": F.col(spec.quali) - F.col("teammate_quali_position"),
-        "grid_position_vs_teammate": F.col("grid_position") - F.col("teammate_grid_position"),
-    })
+    x = x.withColumns({t: F.when(F.col(f"tm_cnt_{c}") > 1, F.col(f"tm_sum_{c}") - F.col(c))
+                       for t, c in (teammate_start(spec) | TEAMMATE_HISTORY).items()}).drop(*tm_cols)
+    x = x.withColumns({f"{c}_vs_teammate": F.col(c) - F.col(t) for t, c in teammate_start(spec).items()})
     if spec.mode == "compat":
         x = compat_row_level_features(x, spec, ge)
 
@@ -404,22 +417,12 @@ def add_history_features(df: DataFrame, spec: PanelSpec, materialize_entity: boo
     # per-event max over the group table (bounded by #events).
     cmax = cr.groupBy(*ek).agg(F.max("constructor_points_before_season").alias("ev_max_constructor_points"))
     x = x.join(cmax, ek, "left")
-    x = x.withColumns({
-        "driver_points_share_before": ratio(F.col("driver_points_before_season"), F.col("ev_max_driver_points")),
-        "constructor_points_share_before": ratio(F.col("constructor_points_before_season"),
-                                                 F.col("ev_max_constructor_points")),
-        "driver_official_standings_points_before": F.col("driver_event_points_before_season"),
-        "constructor_official_standings_points_before": F.col("constructor_event_points_before_season"),
-    }).drop("ev_max_driver_points", "ev_max_constructor_points")
+    x = x.withColumns(standing_columns()).drop("ev_max_driver_points", "ev_max_constructor_points")
 
     # W7 dense strength ranks within the event.
-    x = dense_rank_desc_within(x, ek, "driver_points_before_season", "driver_strength_rank_before")
-    crank = dense_rank_table(cr, ek, "constructor_points_before_season", "constructor_strength_rank_before")
+    x = dense_rank_desc_within(x, ek, "driver_points_before_season", STRENGTH_RANKS["driver_points_before_season"])
+    crank = dense_rank_table(cr, ek, "constructor_points_before_season", STRENGTH_RANKS["constructor_points_before_season"])
     x = x.join(crank, [*ek, "constructor_points_before_season"], "left")
 
     # F28 cold-start flags.
-    return x.withColumns({
-        "missing_driver_history": F.col("driver_avg_finish_last_5").isNull().cast("int"),
-        "missing_constructor_history": F.col("constructor_avg_finish_last_5").isNull().cast("int"),
-        "missing_circuit_history": F.col("driver_avg_finish_on_circuit_before").isNull().cast("int"),
-    })
+    return x.withColumns(cold_start_columns())

@@ -28,13 +28,14 @@ def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return x.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= n)
 
 
-def best_row_per(df: DataFrame, keys: Sequence[str], dedupe: str, order: Sequence[Column]) -> DataFrame:
-    """Keep the best row per (keys, dedupe id) in ``order``.
-    ``max_by`` over a struct: an aggregate, partial per task."""
-    other = [c for c in df.columns if c not in (*keys, dedupe)]
-    sort_key = F.struct(*[o for o in order])
-    agg = df.groupBy(*keys, dedupe).agg(F.min_by(F.struct(*other), sort_key).alias("_r"))
-    return agg.select(*keys, dedupe, *[F.col(f"_r.{c}").alias(c) for c in other])
+def best_row_per(df: DataFrame, keys: Sequence[str], dedupe: str, best: Sequence[str]) -> DataFrame:
+    """The row with the largest values of ``best`` per (keys, dedupe
+    id). One aggregate, partial per task: structs compare field by field with
+    nulls lowest, so a null score loses against any score and text keys work
+    as well; rows that tie in ``best`` are told apart by their other columns."""
+    rest = [c for c in df.columns if c not in (*keys, dedupe, *best)]
+    agg = df.groupBy(*keys, dedupe).agg(F.max(F.struct(*best, *rest)).alias("_r"))
+    return agg.select(*[F.col(c) if c in (*keys, dedupe) else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
 def predict_top_n(scored: DataFrame, event: Sequence[str], entity: str, n: int = 10,
@@ -43,7 +44,7 @@ def predict_top_n(scored: DataFrame, event: Sequence[str], entity: str, n: int =
     """O3: 4-key descending order, one row per entity, top ``n`` per event,
     rank 1..n (ties broken by the entity id)."""
     order = [F.col(c).desc_nulls_last() for c in score_cols] + [F.col(entity).asc()]
-    dedup = best_row_per(scored, event, entity, [(-F.col(c)) for c in score_cols] + [F.col(entity)])
+    dedup = best_row_per(scored, event, entity, score_cols)
     return top_n_per_group(dedup, event, order, n, salt_on=entity)
 
 
