@@ -214,7 +214,7 @@ def compat_row_level_features(df: DataFrame, spec: PanelSpec, ge: DataFrame | No
       (everything of prior events)  +  (earlier rows of the same event):
     the first part is a cumulative sum over the event x group table (bounded
     by #events x #groups), the second a running total inside each (event[,
-    group]) ordered by entity (``ordered.prefix_sums``, size-checked).  No
+    group]) ordered by entity (``ordered.prefix_sums``).  No
     window ever holds a whole venue or group.  Only the rows-based rolling
     sums (F23 compat, "last n rows") stay a window over the group: that
     sequential semantics is reproduced for parity, the strict path is the
@@ -283,15 +283,16 @@ def compat_row_level_features(df: DataFrame, spec: PanelSpec, ge: DataFrame | No
     dnf_g = before("_cg", "dnf", F.col("_pg_dnf_s"), F.col("_pg_dnf_c"))
     dnf_v = before("_ce", "dnf", F.col("_pv_sum_dnf"), F.col("_pv_cnt_dnf"))
     dlt_v = before("_ce", "delta", F.col("_pv_sum_delta"), F.col("_pv_cnt_delta"))
+    of_group = F.col(g).isNotNull()  # rows without a group have no group history
     cols = {
-        "constructor_avg_finish_on_circuit_before": mean(fin),
-        "constructor_points_on_circuit_before": total(gp).cast("bigint"),
+        "constructor_avg_finish_on_circuit_before": F.when(of_group, mean(fin)),
+        "constructor_points_on_circuit_before": F.when(of_group, total(gp).cast("bigint")),
         "circuit_dnf_rate_before": mean(dnf_v),
         "circuit_avg_grid_to_finish_delta_before": mean(dlt_v),
-        f"constructor_top10_rate_{ls}_before": F.when(live, mean(top)),
-        f"constructor_avg_finish_{ls}_before": F.when(live, mean(fin_g)),
-        f"constructor_avg_quali_{ls}_before": F.when(live, mean(qua)),
-        f"constructor_reliability_rate_{ls}_before": F.when(live, 1 - mean(dnf_g)),
+        f"constructor_top10_rate_{ls}_before": F.when(of_group & live, mean(top)),
+        f"constructor_avg_finish_{ls}_before": F.when(of_group & live, mean(fin_g)),
+        f"constructor_avg_quali_{ls}_before": F.when(of_group & live, mean(qua)),
+        f"constructor_reliability_rate_{ls}_before": F.when(of_group & live, 1 - mean(dnf_g)),
     }
     x = x.withColumns(cols)
     x = _compat_recent_rows(x, ge, spec)

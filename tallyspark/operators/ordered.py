@@ -2,34 +2,28 @@
 
 ``Window.partitionBy(g).orderBy(o)`` sends every row of a group to one task;
 when one group holds a third of the data (an evaluation split, a big event)
-that task does a third of the work.  ``prefix_sums`` splits every group into
-ordered buckets first:
-
-1. bucket bounds are approximate quantiles of the leading order column
-   (``percentile_approx`` is a distributed sketch whose one-row result is
-   broadcast; nothing is collected to the driver),
-2. ``bucket`` is a deterministic JVM expression (count of bounds below the
-   value), so recomputation after an executor loss gives the same buckets,
-3. per (group, bucket) totals are a partial/final aggregate; their prefix over
-   buckets is a window over a table of at most groups x buckets rows, which is
-   broadcast (bounded size) and joined back,
-4. inside a bucket an ordinary window adds the local running total.
-
-The result is exact; tasks hold about 1/buckets of a group each.
-
-The bucketed plan costs a few extra passes, so it is chosen by size: one
-aggregate measures the largest group and groups up to ``max_window_rows``
-rows (``spark.tallyspark.maxWindowRows``, default 1,000,000) use a plain
-window; larger ones take the bucketed plan.
+that task does a third of the work. ``prefix_sums`` has one plan for all sizes:
+
+1. rows are range-partitioned by all group and order columns, so that neither a
+   large group nor a tie of the leading columns lands in one part, and are
+   written once with their part number (the bounds are sampled, so a part must
+   not be computed twice);
+2. totals per (group, part) are a partial/final aggregate; their running totals
+   are a window over at most groups + parts rows;
+3. these come back by a null-safe join (a null group is a group), and an
+   ordinary window inside (group, part) adds the local running total.
+
+Tasks hold about 1 / parts of all rows, whatever the groups and ties.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+
+from ..session import materialize
 
 UNB = Window.unboundedPreceding
 
@@ -41,110 +35,35 @@ def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumns({c: one_row.select(F.col(f"`{c}`")).scalar() for c in one_row.columns})
 
 
-def _numeric_key(df: DataFrame, col: str) -> Column:
-    """Order-preserving double for the bucket bounds: numbers as they are,
-    strings by their first 6 UTF-8 bytes (binary order, as Spark sorts
-    strings); ties of the prefix only share a bucket."""
-    dt = df.schema[col].dataType
-    if isinstance(dt, StringType):
-        head = F.hex(F.substring(F.col(col).cast("binary"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    if isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double")
-
-
-def _with_bucket(df: DataFrame, col: str, buckets: int) -> DataFrame:
-    """Bucket = number of approximate-quantile bounds below the value.
-
-    The bounds are a one-row aggregate joined lazily (nothing is collected);
-    the bucket is a deterministic function of the row and the bounds."""
-    if buckets <= 1:
-        return df.withColumn("_bkt", F.lit(0))
-    qs = [i / buckets for i in range(1, buckets)]
-    v = _numeric_key(df, col)
-    bounds = df.agg(F.percentile_approx(v, qs, 10000).alias("_bounds"))
-    return (with_scalar(df, bounds)
-            .withColumn("_bkt", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < v)), F.lit(0)))
-            .drop("_bounds"))
-
-
-DEFAULT_MAX_WINDOW_ROWS = 1_000_000
-
-
-def group_stats(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
-    """(rows of the largest group, number of groups): one aggregate, two numbers."""
-    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-        df.agg(F.count(F.lit(1)).alias("_n"))
-    r = g.agg(F.max("_n").alias("m"), F.count(F.lit(1)).alias("k")).first()
-    return int(r["m"] or 0), int(r["k"] or 0)
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str]) -> int:
-    return group_stats(df, group_cols)[0]
-
-
-def _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position):
-    ords = [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
-    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy(*ords)
-    run = w.rowsBetween(UNB, 0)
-    cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(run) for v in value_cols}
-    if with_position:
-        cols[with_position] = F.row_number().over(w).cast("int")
-    return df.withColumns(cols)
-
-
 def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
-                value_cols: Sequence[str], out_prefix: str = "cum_", buckets: int | None = None,
-                with_position: str | None = None, max_window_rows: int | None = None) -> DataFrame:
+                value_cols: Sequence[str], out_prefix: str = "cum_", with_position: str | None = None) -> DataFrame:
     """Add ``{out_prefix}{v}``: sum of ``v`` over rows of the same group that
     come at or before the row in ``order`` ((column, ascending) pairs; the
-    order must be total within a group).  ``with_position`` also adds the
-    1-based position of the row (a distributed ``row_number``).
-
-    ``max_window_rows``: largest group size served by a plain window
-    (``None`` reads the session setting; ``0`` forces the bucketed plan)."""
-    group_cols = list(group_cols)
-    if max_window_rows is None:
-        max_window_rows = int(df.sparkSession.conf.get("spark.tallyspark.maxWindowRows",
-                                                       str(DEFAULT_MAX_WINDOW_ROWS)))
-    n_groups = None
-    if buckets is None and max_window_rows > 0:
-        biggest, n_groups = group_stats(df, group_cols)
-        if biggest <= max_window_rows:
-            return _window_prefix(df, group_cols, order, value_cols, out_prefix, with_position)
-    lead, lead_asc = order[0]
-    if buckets is None:
-        buckets = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2)
-    x = _with_bucket(df, lead, buckets)
-    if with_position:
-        x = x.withColumn("_one", F.lit(1))
-        value_cols = [*value_cols, "_one"]
-    aggs = [F.sum(v).alias(f"_t_{v}") for v in value_cols]
-    totals = x.groupBy(*group_cols, "_bkt").agg(*aggs)
-    bo = F.col("_bkt").asc() if lead_asc else F.col("_bkt").desc()
-    wb = Window.partitionBy(*group_cols).orderBy(bo).rowsBetween(UNB, -1)
-    offsets = totals.select(*group_cols, "_bkt", *[
-        F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_o_{v}") for v in value_cols])
-    # the offsets table has at most groups x buckets rows: hint a broadcast
-    # only when that product is known to be small, otherwise AQE decides
-    if n_groups is None:
-        n_groups = group_stats(df, group_cols)[1]
-    if n_groups * buckets <= DEFAULT_MAX_WINDOW_ROWS:
-        offsets = F.broadcast(offsets)
-    x = x.join(offsets, [*group_cols, "_bkt"], "left")
-    ords = [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
-    wl = Window.partitionBy(*group_cols, "_bkt").orderBy(*ords).rowsBetween(UNB, 0)
-    cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(wl) + F.col(f"_o_{v}")
-            for v in value_cols if v != "_one"}
+    order must be total within a group). ``with_position`` also adds the
+    1-based position of the row (a distributed ``row_number``)."""
+    groups = list(group_cols)
+    by = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = df.repartitionByRange(parts, *groups, *by).withColumn("_part", F.spark_partition_id())
+    x = materialize(x, "ordered")
+
+    sums = {v: F.sum(v) for v in value_cols} | ({"_rows": F.count(F.lit(1))} if with_position else {})
+    totals = x.groupBy(*groups, "_part").agg(*[s.alias(f"_t_{v}") for v, s in sums.items()])
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(UNB, -1)
+    start = totals.select(*[F.col(c).alias(f"_g_{c}") for c in groups], F.col("_part").alias("_p"),
+                          *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in sums])
+    same = F.col("_part") == F.col("_p")
+    for c in groups:
+        same = same & x[c].eqNullSafe(F.col(f"_g_{c}"))
+    here = Window.partitionBy(*groups, "_part").orderBy(*by)
+    cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(here.rowsBetween(UNB, 0)) + F.col(f"_o_{v}")
+            for v in value_cols}
     if with_position:
-        cols[with_position] = (F.count(F.lit(1)).over(wl) + F.col("_o__one")).cast("int")
-    drop = ["_bkt", *[f"_o_{v}" for v in value_cols]] + (["_one"] if with_position else [])
-    return x.withColumns(cols).drop(*drop)
+        cols[with_position] = (F.row_number().over(here) + F.col("_o__rows")).cast("int")
+    out = x.join(start, same, "left").withColumns(cols)
+    return out.select(*df.columns, *[c for c in cols if c not in df.columns])
 
 
-def position_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
-                    out: str, buckets: int | None = None, max_window_rows: int | None = None) -> DataFrame:
+def position_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]], out: str) -> DataFrame:
     """Distributed ``row_number() over (partition by group order by ...)``."""
-    return prefix_sums(df, group_cols, order, [], buckets=buckets, with_position=out,
-                       max_window_rows=max_window_rows)
+    return prefix_sums(df, group_cols, order, [], with_position=out)

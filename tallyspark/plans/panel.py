@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import prepare_panel
 from ..operators.history import add_history_features
-from ..session import materialize
+from ..session import data_version, materialize
 from ..sources.fixture import fixture_panel
 from ..spec import DEFAULT_SPEC, PanelSpec
 
@@ -23,9 +23,8 @@ _STAGES: dict[tuple, DataFrame] = {}
 
 
 def _stage(spark: SparkSession, key: tuple, build) -> DataFrame:
-    # the plan choice of the running totals is part of the key (results are
-    # identical; tests force the bucketed plan and must not hit a memo)
-    k = (spark.sparkContext.applicationId, spark.conf.get("spark.tallyspark.maxWindowRows", None), *key)
+    # the files are part of the key: new data under an old path is read anew
+    k = (spark.sparkContext.applicationId, data_version(spark, key[1]), *key)
     df = _STAGES.get(k)
     if df is None:
         df = materialize(build(), key[0])

@@ -9,6 +9,7 @@ from ``spark-submit`` and only ``ensure_checkpoint_dir`` is applied.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (tests, a laptop) a scratch folder is created and registered.
+    on a local master (tests, a laptop) a scratch folder is created and
+    registered. On a cluster a folder that all hosts share has to be named.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -50,16 +52,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all hosts of {master} share")
     path = tempfile.mkdtemp(prefix="tallyspark-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_STAGES: dict[str, list[str]] = {}
 
 
 def materialize(df, tag: str):
@@ -71,4 +73,32 @@ def materialize(df, tag: str):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any file system that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables that this application wrote; call it when no
+    result that reads them is needed any more. Returns their number."""
+    paths = _STAGES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        fs.delete(p, True)
+    return len(paths)
+
+
+def data_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, lengths and times of the files of a folder and its tables, so
+    that a memo by folder doesn't outlive its data."""
+    fs, p = hadoop_path(spark, folder)
+    out = []
+    for s in fs.listStatus(p):
+        for f in fs.listStatus(s.getPath()) if s.isDirectory() else [s]:
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))

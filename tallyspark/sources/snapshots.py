@@ -15,7 +15,9 @@ season by a distributed running offset, so every page is a bounded group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -56,11 +58,13 @@ def parse_pages(pages: DataFrame, json_col: str = "json") -> DataFrame:
     return pages.select(F.from_json(F.col(json_col), PAGE).alias("p")).select("p.*")
 
 
-def flatten_results(pages: DataFrame) -> DataFrame:
-    """Race fields repeated on every nested result, dotted names."""
-    races = pages.select(F.inline("MRData.RaceTable.Races"))
-    res = races.select("season", "round", "raceName", "date", "Circuit", F.inline("Results"))
-    return res.select(*[F.col(c).alias(c) for c in RESULT_COLUMNS])
+def flatten_results(pages: DataFrame, extra: Sequence[Column] = ()) -> DataFrame:
+    """Race fields repeated on every nested result, dotted names;
+    ``extra`` columns of the page (named) are carried along."""
+    races = pages.select(*extra, F.inline("MRData.RaceTable.Races"))
+    own = races.columns[:len(extra)]
+    res = races.select(*own, "season", "round", "raceName", "date", "Circuit", F.inline("Results"))
+    return res.select(*[F.col(c).alias(c) for c in RESULT_COLUMNS], *own)
 
 
 def page_completeness(pages: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Incremental snapshot ingest with Structured Streaming.
 
 New page files under ``incoming`` are read with ``readStream`` (explicit
-schema), flattened (S7), de-duplicated on the result key inside the batch,
-and upserted in ``foreachBatch``: rows whose key already exists are
-replaced, new keys appended.  Every micro-batch writes a new table version
-(``v000001``, ...) next to the previous one, so a failed batch never leaves a
-half-written table and a retried epoch simply rewrites its own version.
+schema) and flattened (S7); ``foreachBatch`` appends the rows of each epoch to
+a log of its own folder (``epoch=7``), with the page file's modification time
+and the page's offset. A retried epoch overwrites its folder only, so nothing
+earlier can be lost, and no batch reads or rewrites what is there already.
+Reading the table keeps the latest row of each result key: one aggregate,
+partial per task, ordered by (epoch, file time, page offset).
 ``trigger(availableNow=True)`` processes what has arrived and stops; the
 streaming checkpoint makes re-runs pick up only new files.
 """
@@ -15,51 +16,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import hadoop_path
 from ..sources import snapshots as SN
 
 RESULT_KEY = ["season", "round", "Driver.driverId"]
+ARRIVAL = ["_file_time", "_page"]
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def append_epoch(table_path: str):
+    """The batch function: ``batch`` holds pages, with ``_file_time`` (a
+    timestamp) where the source knows it."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        if "_file_time" not in batch.columns:
+            batch = batch.withColumn("_file_time", F.lit(None).cast("timestamp"))
+        arrival = [F.col("_file_time"), F.col("MRData.offset").cast("long").alias("_page")]
+        rows = SN.flatten_results(batch, arrival)
+        rows.write.mode("overwrite").parquet(f"{table_path}/epoch={epoch_id}")
+    return run
 
 
-def latest_version(spark: SparkSession, table_path: str) -> str | None:
-    fs, p = _fs(spark, table_path)
+def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
+    """The latest row of each key; key parts may be null."""
+    empty = SN.flatten_results(spark.createDataFrame([], SN.PAGE))
+    fs, p = hadoop_path(spark, table_path)
     if not fs.exists(p):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                   if s.isDirectory() and s.getPath().getName().startswith("v"))
-    done = [n for n in names if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{table_path}/{n}/_SUCCESS"))]
-    return f"{table_path}/{done[-1]}" if done else None
-
-
-def _keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("_k", F.concat_ws("|", *[F.col(f"`{k}`") for k in RESULT_KEY]))
-
-
-def _upsert(table_path: str):
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = _keyed(SN.flatten_results(batch)).dropDuplicates(["_k"])
-        cur = latest_version(spark, table_path)
-        if cur is not None and not cur.endswith(f"v{epoch_id:06d}"):
-            kept = _keyed(spark.read.parquet(cur)).join(fresh.select("_k"), "_k", "left_anti")
-            fresh = kept.unionByName(fresh)
-        fresh.drop("_k").write.mode("overwrite").parquet(f"{table_path}/v{epoch_id:06d}")
-    return run
+        return empty
+    schema = empty.withColumns({"_file_time": F.lit(None).cast("timestamp"), "_page": F.lit(None).cast("long"),
+                                "epoch": F.lit(None).cast("long")}).schema
+    log = spark.read.schema(schema).option("basePath", table_path).parquet(table_path)
+    name = {c: F.col(f"`{c}`") for c in empty.columns}
+    rest = [name[c] for c in empty.columns if c not in RESULT_KEY]
+    latest = log.groupBy(*[name[k] for k in RESULT_KEY]).agg(F.max(F.struct("epoch", *ARRIVAL, F.struct(*rest).alias("row"))).alias("_last"))
+    return latest.select(*[name[c] if c in RESULT_KEY else F.col(f"_last.row.`{c}`").alias(c) for c in empty.columns])
 
 
 def incremental_results_ingest(spark: SparkSession, incoming: str, table_path: str,
                                checkpoint: str) -> DataFrame:
     stream = spark.readStream.schema(SN.PAGE).option("recursiveFileLookup", "true").json(incoming)
-    q = (stream.writeStream.foreachBatch(_upsert(table_path))
+    stream = stream.select("*", F.col("_metadata.file_modification_time").alias("_file_time"))
+    q = (stream.writeStream.foreachBatch(append_epoch(table_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    cur = latest_version(spark, table_path)
-    if cur is None:
-        return spark.createDataFrame([], SN.flatten_results(spark.createDataFrame([], SN.PAGE)).schema)
-    return spark.read.parquet(cur)
+    return read_latest(spark, table_path)

@@ -74,7 +74,7 @@ def test_position_within_equals_row_number(spark):
     from pyspark.sql import Window
     df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 7919 % 1000).alias("v"),
                                      F.col("id"))
-    a = position_within(df, ["g"], [("v", False), ("id", True)], "pos", buckets=16)
+    a = position_within(df, ["g"], [("v", False), ("id", True)], "pos")
     b = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), "id")))
     assert a.select("g", "id", "pos").exceptAll(b.select("g", "id", "pos")).count() == 0
 
@@ -83,7 +83,7 @@ def test_prefix_sums_with_hot_group(spark):
     # one group holds almost everything; the running sum must still be exact
     df = spark.range(0, 5000).select(F.when(F.col("id") < 4900, 0).otherwise(1).alias("g"),
                                      F.col("id").alias("o"), F.lit(1).alias("x"))
-    out = prefix_sums(df, ["g"], [("o", True)], ["x"], buckets=32)
+    out = prefix_sums(df, ["g"], [("o", True)], ["x"])
     bad = out.filter(F.when(F.col("g") == 0, F.col("o") + 1).otherwise(F.col("o") - 4899) != F.col("cum_x"))
     assert bad.count() == 0
 
@@ -133,9 +133,3 @@ def test_exact_quantiles_match_percentile(spark):
     med = column_medians(df.withColumn("z", F.lit(None).cast("double")), ["v", "w", "z"]).first()
     ref = df.agg(F.percentile("v", 0.5).alias("v"), F.percentile("w", 0.5).alias("w")).first()
     assert med["v"] == pytest.approx(ref["v"]) and med["w"] == pytest.approx(ref["w"]) and med["z"] is None
-    spark.conf.set("spark.tallyspark.maxWindowRows", "0")  # bucketed running counts
-    try:
-        got2 = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", [0.5], ["b"]).collect()}
-    finally:
-        spark.conf.unset("spark.tallyspark.maxWindowRows")
-    assert all(got2[g]["b"] == pytest.approx(got[g]["b"]) for g in got)
