@@ -1,8 +1,9 @@
-"""Command line: the three batch entry points of the pipeline.
+"""Command line: the batch entry points of the pipeline.
 
     python -m tallyspark.cli build-panel --data DIR --out PATH [--mode strict|compat]
     python -m tallyspark.cli evaluate    --data DIR --out PATH [--trees N] [--artifacts DIR]
-    python -m tallyspark.cli predict     --data DIR --out PATH --round R [--top-n 10]
+    python -m tallyspark.cli train-live  --data DIR --artifacts DIR [--round R] [--trees N]
+    python -m tallyspark.cli predict     --data DIR --out PATH --round R [--top-n 10] [--artifacts DIR]
 
 ``--data`` is a directory of the supplied parquet tables.  On a cluster the
 session comes from ``spark-submit``; locally a ``local[*]`` session is made.
@@ -36,11 +37,17 @@ def main(argv=None) -> None:
     e.add_argument("--out", required=True)
     e.add_argument("--trees", type=int, default=500)
     e.add_argument("--artifacts", default=None)
+    t = sub.add_parser("train-live")
+    t.add_argument("--data", required=True)
+    t.add_argument("--artifacts", required=True)
+    t.add_argument("--round", type=int, default=None)
+    t.add_argument("--trees", type=int, default=500)
     p = sub.add_parser("predict")
     p.add_argument("--data", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--round", type=int, required=True)
     p.add_argument("--top-n", type=int, default=10)
+    p.add_argument("--artifacts", default=None)
     a = ap.parse_args(argv)
 
     spark = _session()
@@ -64,8 +71,16 @@ def main(argv=None) -> None:
         from .operators.future import event_schedule
         from .plans.predict import predict_event
         prep = prepared_panel(spark, a.data)
-        out = predict_event(prep, event_schedule(prep, spec), spec, spec.live_season, a.round, a.top_n)
+        out = predict_event(prep, event_schedule(prep, spec), spec, spec.live_season, a.round, a.top_n,
+                            artifacts=a.artifacts)
         write_table(out, a.out)
+    elif a.cmd == "train-live":
+        from .operators.models import TreeParams
+        from .plans.artifacts import save_family, train_live_family
+        for mode in ("pre_quali", "post_quali"):
+            fam, thr = train_live_family(feature_panel(spark, a.data), mode, TreeParams(n_trees=a.trees), a.round)
+            save_family(spark, fam, {r["task"]: r["threshold"] for r in thr.collect()}, a.artifacts, "live", mode,
+                        {"season": spec.live_season, "round": a.round})
 
 
 if __name__ == "__main__":

@@ -35,9 +35,9 @@ def fit_points_baseline(train: DataFrame, slot: str, target: str) -> PointsBasel
 def predict_points_baseline(df: DataFrame, fitted: PointsBaseline, slot: str, out: str) -> DataFrame:
     """Left join on the slot, fall back to the global mean, clip at 0.
 
-    The slot table has one row per distinct slot value (grid slots: a few
-    dozen), so it is broadcast; the global mean is a one-row scalar."""
-    x = df.join(F.broadcast(fitted.by_slot), slot, "left")
+    The slot table has one row per distinct slot value; its size decides at run
+    time how it is joined. The global mean is a one-row scalar."""
+    x = df.join(fitted.by_slot, slot, "left")
     x = with_scalar(x, fitted.global_mean)
     return x.withColumn(out, F.greatest(F.coalesce(F.col("_slot_mean"), F.col("_global_mean")), F.lit(0.0))) \
             .drop("_slot_mean", "_global_mean")

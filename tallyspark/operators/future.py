@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
 from .history import add_history_features, ratio
+from .ordered import with_scalar
 
+#: Events of one season's calendar that may be broadcast.
+MAX_SEASON_EVENTS = 100_000
 OUTCOME_COLS = ("position_order", "points", "status", "grid", "quali_position")
 
 
@@ -69,9 +72,9 @@ def last_event_entrants(history: DataFrame, spec: PanelSpec, season: int) -> Dat
 
 
 def _next_rows(entrants: DataFrame, history: DataFrame, spec: PanelSpec, season: int,
-               next_round: int, next_seq: int, venue_placeholder: int = -1) -> DataFrame:
-    """One row per entrant at a placeholder event after the cut, every
-    outcome column null (typed like the history)."""
+               next_round: int, venue_placeholder: int = -1) -> DataFrame:
+    """One row per entrant at a placeholder event right after the last
+    one of the history, every outcome column null (typed like the history)."""
     types = {f.name: f.dataType for f in history.schema.fields}
     cols: dict[str, Column] = {}
     for c in history.columns:
@@ -80,9 +83,10 @@ def _next_rows(entrants: DataFrame, history: DataFrame, spec: PanelSpec, season:
         cols[c] = F.lit(None).cast(types[c])
     cols[spec.season] = F.lit(season).cast(types[spec.season])
     cols[spec.round] = F.lit(next_round).cast(types[spec.round])
-    cols[spec.seq] = F.lit(next_seq).cast(types[spec.seq])
     cols[spec.venue] = F.lit(venue_placeholder).cast(types[spec.venue])
-    return entrants.withColumns(cols).select(*history.columns)
+    after = history.agg((F.max(spec.seq) + 1).cast(types[spec.seq]).alias("_after"))
+    cols[spec.seq] = F.col("_after")
+    return with_scalar(entrants, after).withColumns(cols).select(*history.columns)
 
 
 def venue_asof(history: DataFrame, spec: PanelSpec) -> dict[str, DataFrame]:
@@ -119,16 +123,19 @@ def future_feature_rows(prepared: DataFrame, schedule: DataFrame, spec: PanelSpe
     targets = future_schedule(schedule, spec, season, from_round=cut_round, only_round=only_round)
     entrants = last_event_entrants(hist, spec, season)
     # placeholder event right after the cut: same season, seq after all history
-    nxt = _next_rows(entrants, hist, spec, season, cut_round, 10 ** 9)
-    feats = add_history_features(hist.unionByName(nxt), spec)
-    snap = feats.filter(F.col(spec.seq) == 10 ** 9).drop(*VENUE_FEATURES, spec.round, spec.seq, spec.venue,
-                                                          "race_round", "missing_circuit_history")
+    nxt = _next_rows(entrants, hist, spec, season, cut_round)
+    both = hist.withColumn("_next", F.lit(False)).unionByName(nxt.withColumn("_next", F.lit(True)))
+    feats = add_history_features(both, spec)
+    snap = feats.filter("_next").drop(*VENUE_FEATURES, "_next", spec.round, spec.seq, spec.venue,
+                                      "race_round", "missing_circuit_history")
     tsel = targets.select(spec.season, spec.round, spec.seq, spec.venue)
-    rows = snap.join(tsel, spec.season)  # equi-join on the season (J13)
+    if tsel.limit(MAX_SEASON_EVENTS + 1).count() > MAX_SEASON_EVENTS:
+        raise ValueError(f"more than {MAX_SEASON_EVENTS} events in one season's schedule")
+    rows = snap.join(F.broadcast(tsel), spec.season)  # a season's calendar, its size just checked (J13)
     va = venue_asof(hist, spec)
     rows = (rows.join(va["entity"], [spec.entity, spec.venue], "left")
                 .join(va["group"], [spec.group, spec.venue], "left")
-                .join(F.broadcast(va["venue"]), spec.venue, "left"))  # one row per venue
+                .join(va["venue"], spec.venue, "left"))
     rows = rows.withColumns({
         "race_round": F.col(spec.round),
         "missing_circuit_history": F.col("driver_avg_finish_on_circuit_before").isNull().cast("int"),
@@ -147,10 +154,10 @@ def with_prediction_mode(rows: DataFrame, spec: PanelSpec) -> DataFrame:
     """POST-QUALI iff every row of the event has grid and qualifying.
 
     ``bool_and`` per event is a partial/final aggregate (one row per event,
-    broadcast back), not a window over the event."""
+    joined back), not a window over the event."""
     ready = (F.col("grid_position").isNotNull() & F.col(spec.quali).isNotNull())
     ev = rows.groupBy(spec.season, spec.round).agg(F.bool_and(ready).alias("_ready"))
-    return (rows.join(F.broadcast(ev), [spec.season, spec.round], "left")
+    return (rows.join(ev, [spec.season, spec.round], "left")
                 .withColumn("prediction_mode", F.when(F.col("_ready"), F.lit("POST-QUALI"))
                             .otherwise(F.lit("PRE-QUALI"))).drop("_ready"))
 
@@ -171,18 +178,27 @@ def backtest_entity_windows(history: DataFrame, targets: DataFrame, spec: PanelS
     """J14 for targets with different cuts: for each (entity, target event),
     aggregates over the entity's last ``w`` rows before the target.
 
-    Range join ``h.entity = t.entity AND h.seq < t.seq`` (equi on the entity,
-    so it shuffles by entity), then a descending row number per (entity,
-    target) and conditional sums.  Work is history rows x targets per entity;
-    targets are the few events being back-tested."""
-    h = history.select(spec.entity, F.col(spec.seq).alias("_hseq"), spec.finish, "grand_prix_points")
-    t = targets.select(spec.entity, spec.season, spec.round, spec.seq)
-    j = t.join(h, (t[spec.entity] == h[spec.entity]) & (h["_hseq"] < t[spec.seq]), "left").drop(h[spec.entity])
-    w = Window.partitionBy(spec.entity, spec.season, spec.round).orderBy(F.desc("_hseq"))
-    j = j.withColumn("_rn", F.row_number().over(w))
-    aggs = [F.count("_hseq").cast("int").alias("driver_races_before")]
+    The entity's rows are numbered once, and a target finds the number of rows
+    before it in the same pass (targets are marker rows in the entity's order).
+    Positions -1 .. -w are then looked up by an equi-join on (entity, position),
+    so the work is rows + targets x w, however many events are back-tested."""
+    e, far = spec.entity, max(windows)
+    h = history.select(e, F.col(spec.seq).alias("_seq"), spec.finish, "grand_prix_points")
+    by = Window.partitionBy(e).orderBy("_seq")
+    numbered = h.withColumn("_pos", F.row_number().over(by))
+    marks = targets.select(e, F.col(spec.seq).alias("_seq"), spec.season, spec.round, F.lit(None).cast("int").alias("_pos"))
+    seen = numbered.select(e, "_seq", "_pos").unionByName(marks, allowMissingColumns=True)
+    # markers come before a row of the same event, so only earlier rows count
+    upto = Window.partitionBy(e).orderBy("_seq", F.col("_pos").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.max("_pos").over(upto), F.lit(0))
+    t = seen.withColumn("driver_races_before", before.cast("int")).filter("_pos is null")
+    t = t.select(e, spec.season, spec.round, "driver_races_before",
+                 F.explode(F.sequence(F.lit(1), F.lit(far))).alias("_back"))
+    look = numbered.select(F.col(e).alias("_e"), F.col("_pos").alias("_at"), spec.finish, "grand_prix_points")
+    j = t.join(look, (F.col(e) == F.col("_e")) & (F.col("driver_races_before") - F.col("_back") + 1 == F.col("_at")), "left")
+    aggs = [F.max("driver_races_before").alias("driver_races_before")]
     for n in windows:
-        inw = F.col("_rn") <= n
+        inw = F.col("_back") <= n
         aggs.append(F.avg(F.when(inw, F.col(spec.finish))).alias(f"driver_avg_finish_last_{n}"))
         aggs.append(F.sum(F.when(inw, F.col("grand_prix_points"))).alias(f"driver_points_last_{n}"))
-    return j.groupBy(spec.entity, spec.season, spec.round).agg(*aggs)
+    return j.groupBy(e, spec.season, spec.round).agg(*aggs)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import position_within, prefix_sums
+from .ordered import position_within, prefix_sums, with_scalar
 
 
 def _sd(a, b):
@@ -177,7 +177,7 @@ def roc_curve(df: DataFrame, by: Sequence[str], label: str, proba: str) -> DataF
     h = score_histogram(df, by, label, proba)
     h = prefix_sums(h, by, [("_s", False)], ["_pos", "_neg"])
     tot = h.groupBy(*by).agg(F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
-    h = h.join(tot, list(by), "left") if by else h.join(tot, how="inner")
+    h = h.join(tot, list(by), "left") if by else with_scalar(h, tot)
     return h.select(*by, F.col("_s").alias("threshold"),
                     _sd(F.col("cum__neg"), F.col("_N")).alias("fpr"),
                     _sd(F.col("cum__pos"), F.col("_P")).alias("tpr"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -57,7 +57,7 @@ def drop_null_targets(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 
 
 def imbalance_weight(df: DataFrame, label: str) -> DataFrame:
-    """One-row table with ``max(1, neg/pos)``."""
+    """One-row table with ``max(1, neg/pos)`` (1 without a positive row)."""
     return df.agg(F.greatest(F.lit(1.0), F.try_divide(
         F.sum((1 - F.col(label)).cast("double")), F.sum(F.col(label).cast("double")))).alias("pos_weight"))
 
@@ -85,6 +85,19 @@ class MedianImputer:
         self.medians = self.medians.select(*self.kept)
         return self
 
+    def values(self) -> dict[str, float]:
+        """The fitted medians, for an artifact."""
+        return {c: float(v) for c, v in self.medians.first().asDict().items()}
+
+    @classmethod
+    def of(cls, spark: SparkSession, medians: dict[str, float], order: Sequence[str]) -> "MedianImputer":
+        """An imputer with known medians, as if fitted."""
+        out = cls(order)
+        out.kept = list(order)
+        out.medians = spark.createDataFrame([tuple(float(medians[c]) for c in order)],
+                                            ", ".join(f"`{c}` double" for c in order))
+        return out
+
     def transform(self, df: DataFrame) -> DataFrame:
         if self.medians is None:
             raise RuntimeError("fit first")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators.report import metrics_long
+from ..session import materialize
 from ..operators.split import numeric_feature_columns, season_weight, split_label
 from ..spec import DEFAULT_SPLIT, SplitSpec
 
@@ -42,16 +43,22 @@ def evaluate_family(panel: DataFrame, mode: str, params: ML.TreeParams, sp: Spli
     lab = split_label(panel, sp).withColumn("weight", season_weight(sp))
     feats = [c for c in numeric_feature_columns(lab, mode) if c != "season"]
     fam = ML.train_family(lab.filter(F.col("split") == "train"), feats, params)
-    scored = ML.score_family(fam, lab.filter(F.col("split").isin("validation", "test")))
+    # every metric reads the scored rows, so they are written once
+    scored = materialize(ML.score_family(fam, lab.filter(F.col("split").isin("validation", "test"))), "scored")
     thr, long = family_metrics(fam, scored, mode, entity)
     return fam, thr, long
 
 
+def tuned_thresholds(scored: DataFrame) -> DataFrame:
+    """The F1-best threshold of each classification task on validation."""
+    raw = _task_rows(scored, None).filter(F.col("split") == "validation")
+    return M.best_f1_threshold(raw, ["task"], "label", "proba")
+
+
 def family_metrics(fam: ML.Family, scored: DataFrame, mode: str,
                    entity: str = "driver_id") -> tuple[DataFrame, DataFrame]:
     """Thresholds tuned on validation, then long metrics for both splits."""
-    raw = _task_rows(scored, None)
-    thr = M.best_f1_threshold(raw.filter(F.col("split") == "validation"), ["task"], "label", "proba")
+    thr = tuned_thresholds(scored)
     tasks = _task_rows(scored, thr)
     cls = M.classification_metrics(tasks, ["split", "task"], "label", "pred", "proba")
     reg = M.regression_metrics(scored, ["split"], "target_points", "expected_points") \
@@ -74,11 +81,8 @@ def evaluate_families(panel: DataFrame, params: ML.TreeParams, sp: SplitSpec = D
     for mode in modes:
         fam, thr, long = evaluate_family(panel, mode, params, sp)
         if artifact_dir:
-            from ..sources.sinks import save_model, save_small_json
-            for task, model in fam.models.items():
-                save_model(model, artifact_dir, mode, task)
-            save_small_json(panel.sparkSession, {r["task"]: r["threshold"] for r in thr.collect()},
-                            f"{artifact_dir}/{mode}/thresholds.json")
-            save_small_json(panel.sparkSession, fam.features, f"{artifact_dir}/{mode}/feature_columns.json")
+            from .artifacts import save_family
+            save_family(panel.sparkSession, fam, {r["task"]: r["threshold"] for r in thr.collect()}, artifact_dir,
+                        "evaluation", mode, {"season": sp.train_seasons[1], "round": None})  # two thresholds
         out = long if out is None else out.unionByName(long)
     return out

@@ -116,3 +116,51 @@ def test_streaming_upsert_replaces_and_dedupes(spark, scratch):
     assert sorted((r["Driver.driverId"], r["points"]) for r in t2.collect()) == [("a", "10"), ("b", "25"), ("c", "25")]
     t3 = incremental_results_ingest(spark, inc, table, ck)  # nothing new
     assert t3.count() == 3
+
+
+def test_prediction_from_saved_families(spark, scratch):
+    """Train, save, load and predict one event: live family first, else evaluation."""
+    from pyspark.sql import functions as F
+    from tallyspark.operators.future import event_schedule
+    from tallyspark.operators.models import TreeParams
+    from tallyspark.plans.artifacts import load_family, save_family, train_live_family
+    from tallyspark.plans.evaluate import evaluate_family
+    from tallyspark.plans.panel import feature_panel, prepared_panel
+    from tallyspark.plans.predict import predict_event
+    from tallyspark.spec import DEFAULT_SPEC as S
+    sf, few = "/root/testdata/sf0.01", TreeParams(n_trees=2, learning_rate=0.3)
+    panel, root = feature_panel(spark, sf), f"{scratch}/families"
+    fam, thr, _ = evaluate_family(panel, "pre_quali", few)
+    save_family(spark, fam, {r["task"]: r["threshold"] for r in thr.collect()}, root, "evaluation", "pre_quali", {"season": 1998, "round": None})
+    loaded, doc = load_family(spark, root, "pre_quali")
+    assert doc["family"] == "evaluation" and set(doc["thresholds"]) == {"top10", "podium"} and loaded.features == fam.features
+    live, thr = train_live_family(panel, "pre_quali", few, cutoff_round=6)
+    save_family(spark, live, {r["task"]: r["threshold"] for r in thr.collect()}, root, "live", "pre_quali", {"season": 2001, "round": 6})
+    assert load_family(spark, root, "pre_quali")[1]["trained_to"] == {"season": 2001, "round": 6}
+    prep = prepared_panel(spark, sf)
+    out = predict_event(prep, event_schedule(prep, S), S, 2001, 7, artifacts=root).collect()
+    assert sorted(r.predicted_rank for r in out) == list(range(1, 11)) and len({r.driver_id for r in out}) == 10
+    assert {r.model_family for r in out} == {"live"} and {r.prediction_mode for r in out} == {"PRE-QUALI"}
+    assert all(0 <= r.proba_top10 <= 1 and 0 <= r.proba_podium <= 1 and r.expected_points >= 0 for r in out)
+    scores = [r.race_rank_score for r in sorted(out, key=lambda r: r.predicted_rank)]
+    assert scores == sorted(scores, reverse=True) and out[0].cutoff_round == 7 and out[0].entrants >= 10
+    with pytest.raises(FileNotFoundError):
+        load_family(spark, root, "post_quali")
+
+
+def test_a_null_score_never_beats_a_score(spark):
+    from tallyspark.operators.rank import predict_top_n
+    df = spark.createDataFrame([(1, 1, "a", None, 1.0, 0.1, 0.1), (1, 1, "a", 9.0, 1.0, 0.1, 0.1), (1, 1, "b", 5.0, 1.0, 0.1, 0.1), (1, 1, "c", None, 9.0, 0.9, 0.9),
+                                (1, 1, "c", None, 2.0, 0.9, 0.9)],
+                               "season int, round int, driver_id string, race_rank_score double, expected_points double, proba_podium double, proba_top10 double")
+    got = [(r.predicted_rank, r.driver_id, r.race_rank_score, r.expected_points) for r in predict_top_n(df, ["season", "round"], "driver_id", 3).collect()]
+    assert sorted(got) == [(1, "a", 9.0, 1.0), (2, "b", 5.0, 1.0), (3, "c", None, 9.0)]
+
+
+def test_text_numbers_are_coerced(spark):
+    from tallyspark.functions.columns import clean_base
+    from tallyspark.spec import DEFAULT_SPEC as S
+    df = spark.createDataFrame([("2001", "3", "4", "x", "1", "2.5"), ("bad", None, "0", "7", "", "n/a")], "season string, round string, grid string, quali_position string, position_order string, points string")
+    rows = [r.asDict() for r in clean_base(df, S).collect()]
+    assert rows[0]["season"] == 2001 and rows[0]["quali_position"] is None and rows[0]["missing_qualifying"] == 1 and rows[0]["points"] == 2.5
+    assert rows[1]["season"] is None and rows[1]["grid_position"] is None and rows[1]["position_order"] is None and rows[1]["points"] is None
