@@ -14,12 +14,12 @@ def metrics_long(wide: DataFrame, ids: Sequence[str], metrics: Sequence[str]) ->
                .unpivot(list(ids), list(metrics), "metric", "value")
 
 
-def metrics_wide(long: DataFrame, ids: Sequence[str], pivot_col: str, metrics: Sequence[str]) -> DataFrame:
-    """One column per (pivot value, metric); pivot values are listed
-    explicitly from the long table's distinct keys (small)."""
+def metrics_wide(long: DataFrame, ids: Sequence[str], pivot_col: str, values: Sequence[str],
+                 metrics: Sequence[str]) -> DataFrame:
+    """One column per (pivot value, metric); both are known to the
+    caller, so no job looks for them and the schema does not hang on the data."""
     keyed = long.withColumn("_k", F.concat_ws("_", F.col(pivot_col), F.col("metric")))
-    vals = sorted(r["_k"] for r in keyed.select("_k").distinct().collect())
-    return keyed.groupBy(*ids).pivot("_k", vals).agg(F.max("value"))
+    return keyed.groupBy(*ids).pivot("_k", [f"{v}_{m}" for v in values for m in metrics]).agg(F.max("value"))
 
 
 def comparison_table(frames: dict[str, DataFrame], ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -315,4 +315,5 @@ def q_u8(spark, sf_dir):
     "U9,L13")
 def q_u9(spark, sf_dir):
     from ..operators.report import metrics_wide
-    return present(metrics_wide(_long_metrics(spark, sf_dir), ["model_family", "split"], "task", METRIC_NAMES))
+    return present(metrics_wide(_long_metrics(spark, sf_dir), ["model_family", "split"], "task", ["podium", "top10"],
+                                METRIC_NAMES))

@@ -33,10 +33,15 @@ CONSTRUCTOR = StructType(_s("constructorId", "name"))
 CIRCUIT = StructType(_s("circuitId", "circuitName"))
 RESULT = StructType(_s("position", "points", "grid", "status")
                     + [StructField("Driver", DRIVER), StructField("Constructor", CONSTRUCTOR)])
+QUALIFYING = StructType(_s("position") + [StructField("Driver", DRIVER), StructField("Constructor", CONSTRUCTOR)])
 RACE = StructType(_s("season", "round", "raceName", "date")
-                  + [StructField("Circuit", CIRCUIT), StructField("Results", ArrayType(RESULT))])
+                  + [StructField("Circuit", CIRCUIT), StructField("Results", ArrayType(RESULT)),
+                     StructField("QualifyingResults", ArrayType(QUALIFYING))])
 STANDING = StructType(_s("position", "points") + [StructField("Driver", DRIVER)])
-STANDINGS_LIST = StructType(_s("season", "round") + [StructField("DriverStandings", ArrayType(STANDING))])
+CONSTRUCTOR_STANDING = StructType(_s("position", "points") + [StructField("Constructor", CONSTRUCTOR)])
+STANDINGS_LIST = StructType(_s("season", "round") + [
+    StructField("DriverStandings", ArrayType(STANDING)),
+    StructField("ConstructorStandings", ArrayType(CONSTRUCTOR_STANDING))])
 PAGE = StructType([StructField("MRData", StructType(
     _s("total", "limit", "offset")
     + [StructField("RaceTable", StructType(_s("season") + [StructField("Races", ArrayType(RACE))])),
@@ -46,6 +51,8 @@ PAGE = StructType([StructField("MRData", StructType(
 RESULT_COLUMNS = ["season", "round", "raceName", "date", "Circuit.circuitId", "Circuit.circuitName",
                   "Driver.driverId", "Driver.givenName", "Driver.familyName", "Constructor.constructorId",
                   "Constructor.name", "grid", "position", "points", "status"]
+QUALIFYING_COLUMNS = ["season", "round", "raceName", "date", "Circuit.circuitId", "Driver.driverId",
+                      "Constructor.constructorId", "Constructor.name", "position"]
 
 
 # ------------------------------------------------------------------ reading
@@ -67,6 +74,13 @@ def flatten_results(pages: DataFrame, extra: Sequence[Column] = ()) -> DataFrame
     return res.select(*[F.col(c).alias(c) for c in RESULT_COLUMNS], *own)
 
 
+def flatten_qualifying(pages: DataFrame) -> DataFrame:
+    """S7 for the other nested list of a race."""
+    races = pages.select(F.inline("MRData.RaceTable.Races"))
+    rows = races.select("season", "round", "raceName", "date", "Circuit", F.inline("QualifyingResults"))
+    return rows.select(*[F.col(c).alias(c) for c in QUALIFYING_COLUMNS])
+
+
 def page_completeness(pages: DataFrame) -> DataFrame:
     """D9 guard: per season, the declared ``total`` against the results
     actually received over all pages (a page lost mid-pagination shows up as
@@ -96,6 +110,14 @@ def flatten_standings(pages: DataFrame) -> DataFrame:
                      *[F.col(f"Driver.{c}").alias(f"Driver.{c}") for c in ("driverId", "givenName", "familyName")])
 
 
+def flatten_constructor_standings(pages: DataFrame) -> DataFrame:
+    """S8 for constructors."""
+    lists = pages.select(F.inline("MRData.StandingsTable.StandingsLists"))
+    st = lists.select("season", "round", F.inline("ConstructorStandings"))
+    return st.select("season", "round", "position", "points",
+                     *[F.col(f"Constructor.{c}").alias(f"Constructor.{c}") for c in ("constructorId", "name")])
+
+
 # ------------------------------------------------------------------ writing
 def _driver_struct(name_col: str, id_col: str) -> F.Column:
     return F.struct(F.col(id_col).cast("string").alias("driverId"),
@@ -103,23 +125,23 @@ def _driver_struct(name_col: str, id_col: str) -> F.Column:
                     F.substring_index(F.col(name_col), "#", -1).alias("familyName"))
 
 
-def results_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataFrame:
-    """Nest panel rows into paginated result documents (one JSON per page).
-
-    The offset of a result inside its season (order: round, position,
-    entity) is a distributed running count; ``page = offset div limit``
-    bounds every collected group by ``limit`` results."""
+def _with_constructor(panel: DataFrame, nation: DataFrame) -> DataFrame:
+    """The panel with its constructor as a struct (25 nations: a fixed-size dimension)."""
     nat = nation.select(F.col("n_nationkey").alias("constructor_id"), F.col("n_name").alias("_cname"))
-    x = panel.join(F.broadcast(nat), "constructor_id", "left")  # 25 nations: fixed-size dimension
-    x = position_within(x, ["season"], [("round", True), ("position_order", True), ("driver_id", True)], "_pos")
+    x = panel.join(F.broadcast(nat), "constructor_id", "left")
+    return x.withColumn("_constructor", F.struct(F.col("constructor_id").cast("string").alias("constructorId"),
+                                                 F.col("_cname").alias("name")))
+
+
+def _race_pages(x: DataFrame, order: str, entry: Sequence[Column], key: str, limit: int) -> DataFrame:
+    """Nest rows into paginated documents of races, entries under ``key``.
+
+    The offset of an entry inside its season (order: round, ``order``, entity)
+    is a distributed running count; ``page = offset div limit`` bounds every
+    collected group by ``limit`` entries."""
+    x = position_within(x, ["season"], [("round", True), (order, True), ("driver_id", True)], "_pos")
     x = x.withColumn("_offset", F.col("_pos") - 1).withColumn("_page", F.floor(F.col("_offset") / limit))
-    result = F.struct(
-        F.col("_offset").alias("_o"),
-        F.col("position_order").cast("string").alias("position"), F.col("points").cast("string").alias("points"),
-        F.col("grid").cast("string").alias("grid"), F.col("status").alias("status"),
-        _driver_struct("driver_name", "driver_id").alias("Driver"),
-        F.struct(F.col("constructor_id").cast("string").alias("constructorId"),
-                 F.col("_cname").alias("name")).alias("Constructor"))
+    result = F.struct(F.col("_offset").alias("_o"), *entry)
     per_race = x.groupBy("season", "_page", "round").agg(F.sort_array(F.collect_list(result)).alias("_res"))
     race = F.struct(
         F.col("round").alias("_r"),
@@ -128,7 +150,7 @@ def results_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataF
         F.date_format(F.make_date(F.col("season"), F.col("round"), F.lit(1)), "yyyy-MM-dd").alias("date"),
         F.struct(F.col("round").cast("string").alias("circuitId"),
                  F.concat(F.lit("Venue "), F.col("round").cast("string")).alias("circuitName")).alias("Circuit"),
-        F.transform("_res", lambda r: r.dropFields("_o")).alias("Results"))
+        F.transform("_res", lambda r: r.dropFields("_o")).alias(key))
     pages = per_race.groupBy("season", "_page").agg(F.sort_array(F.collect_list(race)).alias("_races"))
     totals = x.groupBy("season").agg(F.count(F.lit(1)).alias("_total"))
     pages = pages.join(totals, "season")
@@ -141,6 +163,22 @@ def results_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataF
     return pages.select("season", "_page", F.to_json(doc).alias("json"))
 
 
+def results_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataFrame:
+    """Result documents of a panel (one JSON per page)."""
+    return _race_pages(_with_constructor(panel, nation), "position_order", [
+        F.col("position_order").cast("string").alias("position"), F.col("points").cast("string").alias("points"),
+        F.col("grid").cast("string").alias("grid"), F.col("status").alias("status"),
+        _driver_struct("driver_name", "driver_id").alias("Driver"), F.col("_constructor").alias("Constructor")], "Results", limit)
+
+
+def qualifying_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataFrame:
+    """Qualifying documents of a panel: the rows that have a position."""
+    x = _with_constructor(panel.where("quali_position IS NOT NULL"), nation)
+    return _race_pages(x, "quali_position", [
+        F.col("quali_position").cast("string").alias("position"),
+        _driver_struct("driver_name", "driver_id").alias("Driver"), F.col("_constructor").alias("Constructor")], "QualifyingResults", limit)
+
+
 def standings_pages(panel: DataFrame, limit: int = 30) -> DataFrame:
     """Driver standings after every round (cumulative season points, rank by
     points then entity), paginated: a (season, round) list is split into
@@ -150,17 +188,30 @@ def standings_pages(panel: DataFrame, limit: int = 30) -> DataFrame:
     from pyspark.sql import Window
     w = Window.partitionBy("season", "driver_id").orderBy("event_seq").rowsBetween(Window.unboundedPreceding, 0)
     x = panel.withColumn("_cum", F.sum("points").over(w))
-    x = position_within(x, ["season", "round"], [("_cum", False), ("driver_id", True)], "_rank")
+    return _standings_documents(x, "driver_id", _driver_struct("driver_name", "driver_id").alias("Driver"), "DriverStandings", limit)
+
+
+def constructor_standings_pages(panel: DataFrame, nation: DataFrame, limit: int = 30) -> DataFrame:
+    """Constructor standings after every round in which the constructor had
+    an entry: cumulative points of the season on the event x group table."""
+    from pyspark.sql import Window
+    per = panel.groupBy("season", "round", "event_seq", "constructor_id").agg(F.sum("points").alias("_points"))
+    w = Window.partitionBy("season", "constructor_id").orderBy("event_seq").rowsBetween(Window.unboundedPreceding, 0)
+    x = _with_constructor(per.withColumn("_cum", F.sum("_points").over(w)), nation)
+    return _standings_documents(x, "constructor_id", F.col("_constructor").alias("Constructor"), "ConstructorStandings", limit)
+
+
+def _standings_documents(x: DataFrame, entity: str, who: Column, key: str, limit: int) -> DataFrame:
+    x = position_within(x, ["season", "round"], [("_cum", False), (entity, True)], "_rank")
     x = x.withColumn("_page", F.floor((F.col("_rank") - 1) / limit))
     entry = F.struct(F.col("_rank").alias("_k"), F.col("_rank").cast("string").alias("position"),
-                     F.col("_cum").cast("string").alias("points"),
-                     _driver_struct("driver_name", "driver_id").alias("Driver"))
+                     F.col("_cum").cast("string").alias("points"), who)
     lists = x.groupBy("season", "round", "_page").agg(F.sort_array(F.collect_list(entry)).alias("_st"))
     doc = F.struct(F.struct(
         F.lit(str(limit)).alias("limit"), (F.col("_page") * limit).cast("string").alias("offset"),
         F.struct(F.col("season").cast("string").alias("season"), F.array(F.struct(
             F.col("season").cast("string").alias("season"), F.col("round").cast("string").alias("round"),
-            F.transform("_st", lambda r: r.dropFields("_k")).alias("DriverStandings"))).alias("StandingsLists")
+            F.transform("_st", lambda r: r.dropFields("_k")).alias(key))).alias("StandingsLists")
         ).alias("StandingsTable")).alias("MRData"))
     return lists.select("season", "round", "_page", F.to_json(doc).alias("json"))
 
