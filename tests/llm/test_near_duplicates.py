@@ -65,15 +65,20 @@ def test_open_buckets_are_searched_in_cells(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, SCHEMA)) == plain([r[:2] for r in rows], 4)
 
 
-def test_register_estimate_is_near_the_jaccard_index():
+@pytest.mark.parametrize("kind", ["registers", "fine_registers"])
+def test_registers_keep_pairs_at_the_threshold_and_drop_far_ones(kind):
     rng = np.random.default_rng(1)
-    errors = []
-    for _ in range(60):
-        both, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) for n in (800, 100, 100))
-        x, y = np.unique(np.concatenate([both, a])), np.unique(np.concatenate([both, b]))
-        share, error = op10.estimate(op10.registers(x)[None], op10.registers(y)[None], np.array([900.0]), np.array([900.0]))
-        errors.append((share[0] - 0.8) / error[0])
-    assert abs(np.mean(errors)) < 0.5 and np.max(np.abs(errors)) < 5
+    make, chance = getattr(op10, kind), {"registers": op10.CHANCE, "fine_registers": 1 / 255}[kind]
+    kept = {0.8: [], 0.4: []}
+    for share in kept:
+        for size in (5, 20, 130, 1000, 20_000):
+            for _ in range(40):
+                same = round(size * 2 * share / (1 + share))
+                both, a, b = (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, n, dtype=np.uint64) for n in (same, size - same, size - same))
+                x, y = np.unique(np.concatenate([both, a])), np.unique(np.concatenate([both, b]))
+                n = np.array([float(size)])
+                kept[share].append(op10.within_reach(make(x)[None], make(y)[None], n, n, chance)[0])
+    assert all(kept[0.8]) and np.mean(kept[0.4]) < 0.3
 
 
 def test_components_of_paths_and_stars(spark):
