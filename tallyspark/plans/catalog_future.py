@@ -142,7 +142,7 @@ def top_table(spark, sf_dir) -> DataFrame:
 @register("o3_top_n_predictions", with_prep(*FUTURE_CTES, SCORED_CTE, SCORED2_CTE, TOPN_CTE)
           + "select " + ", ".join(f"round({c}, 6) as {c}" if c in ("proba_top10", "proba_podium", "expected_points",
                                                                     "race_rank_score") else c for c in TOP_COLS)
-          + " from topn", "O3,O2,W11,L10,L11,P22,P23,P24,P25,P27")
+          + " from topn", "O3,O2,W11,P22,P23,P24,P25,P27")
 def q_topn(spark, sf_dir):
     return present(top_table(spark, sf_dir).select(*TOP_COLS))
 
@@ -177,7 +177,7 @@ def q_a17(spark, sf_dir):
 
 
 @register("p21_missing_inputs", with_prep(*FUTURE_CTES) + """
-select driver_id, season, round from rows""", "P21,P26")
+select driver_id, season, round from rows""", "P21")
 def q_p21(spark, sf_dir):
     ready, missing = FU.split_ready(future_rows(spark, sf_dir), S)
     return missing.select("driver_id", "season", "round")
@@ -236,7 +236,7 @@ SELECTED = 9
 select t.predicted_rank, t.season, t.round, t.driver_id, round(t.proba_top10, 6) as proba_top10,
   round(t.proba_podium, 6) as proba_podium, round(t.expected_points, 6) as expected_points,
   round(t.race_rank_score, 6) as race_rank_score, t.confidence, t.prediction_mode, cm.confidence_mode
-from topn t join cm using (season, round)""".replace("\n, cm as", ", cm as"), "L11,E3,A22,P25,P26,P18")
+from topn t join cm using (season, round)""".replace("\n, cm as", ", cm as"), "L11,E3,A22,P25,P18")
 def q_l11(spark, sf_dir):
     from .predict import predict_event
     p = prepared_panel(spark, sf_dir)

@@ -26,7 +26,7 @@ def _over(part: str, frame: str, order: str = "event_seq") -> str:
 # ---------------------------------------------------------------- base panel
 @register("fx_supplier_month_panel",
           f"select * from ({PANEL_SQL}) t",
-          "S2,P1,J1,P3")
+          "P1,J1,P3")
 def q_panel(spark, sf_dir):
     return base_panel(spark, sf_dir)
 

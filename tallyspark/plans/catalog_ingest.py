@@ -199,7 +199,7 @@ def _results_pages(spark, sf_dir, limit=30) -> DataFrame:
     return SN.results_pages(base_panel(spark, sf_dir), read_table(spark, sf_dir, "nation"), limit)
 
 
-@register("s7_results_flatten", FLAT_RESULTS_SQL, "S7,S9,S5")
+@register("s7_results_flatten", FLAT_RESULTS_SQL, "S7,S9")
 def q_s7(spark, sf_dir):
     return SN.flatten_results(SN.parse_pages(_results_pages(spark, sf_dir)))
 
@@ -308,7 +308,7 @@ def q_u1(spark, sf_dir):
 
 
 # ------------------------------------------------------------ T1 incremental ingest
-@register("t1_incremental_ingest", FLAT_RESULTS_SQL, "T1,S9,S10")
+@register("t1_incremental_ingest", FLAT_RESULTS_SQL, "T1,S9")
 def q_t1(spark, sf_dir):
     from ..session import ensure_checkpoint_dir
     from ..streaming.ingest import incremental_results_ingest

@@ -268,7 +268,7 @@ full outer join (select season, driver_name, cast(sum(event_points) + case when
                    and season >= {LIVE - 1} then 3 else 0 end as double) as official_points
                  from p group by season, driver_name, driver_id) o
   on r.season = o.season and r.driver_name = o.driver_name
-where abs(coalesce(r.reconstructed_event_points - o.official_points, 0)) > 0.01""", "J11,U3")
+where abs(coalesce(r.reconstructed_event_points - o.official_points, 0)) > 0.01""", "J11")
 def q_j11(spark, sf_dir):
     p = prepared_panel(spark, sf_dir)
     rec = p.groupBy("season", "driver_name").agg(
