@@ -62,6 +62,66 @@ def op4_mix_sources(spark, sf_dir):
     return op4_mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLE_SQL["op4_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), k AS (
+  SELECT greatest(1, least(1024, sum(size) // 1000000)) AS block, greatest(1, (sum(size) + 2097151) // 2097152) AS shards FROM d
+), s AS (
+  SELECT *, 1 + (source_rank - 1) % 3 AS weight, 3 * source_size AS cap FROM (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS source_rank
+    FROM d GROUP BY source)
+), f AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source_rank
+                                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remains,
+         sum(weight) OVER (ORDER BY cap / weight, source_rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM s
+), o AS (
+  SELECT cap / weight AS ratio, source_rank AS open_rank, CAST(remains AS DOUBLE) AS remains, CAST(rest AS BIGINT) AS rest
+  FROM f WHERE cap * rest > remains * weight ORDER BY cap / weight, source_rank LIMIT 1
+), src AS (
+  SELECT s.*, CASE WHEN o.open_rank IS NOT NULL AND (s.cap / s.weight, s.source_rank) >= (o.ratio, o.open_rank)
+                   THEN o.remains * s.weight / o.rest ELSE CAST(s.cap AS DOUBLE) END AS target
+  FROM s LEFT JOIN o ON true
+), p AS (
+  SELECT d.doc_id, src.source_rank, src.source_size, src.target, d.size, md5('mix:' || d.doc_id) AS h
+  FROM d JOIN src ON d.source IS NOT DISTINCT FROM src.source
+), c AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source_rank, shard ORDER BY h, doc_id, size
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+  FROM (SELECT p.*, CAST('0x' || substr(h, 1, 8) AS BIGINT) % shards AS shard FROM p, k)
+), cell AS (
+  SELECT source_rank, shard, sum(size) AS words, CAST(ceil(sum(size) / any_value(block)) AS BIGINT) AS n
+  FROM c, k GROUP BY source_rank, shard
+), q1 AS (
+  SELECT source_rank, target / (2 * u.i + 1) AS q
+  FROM src JOIN (SELECT source_rank, sum(n) AS n FROM cell GROUP BY source_rank) USING (source_rank), unnest(range(CAST(3 * n AS BIGINT))) AS u(i)
+  WHERE target > 0
+), seats AS (
+  SELECT source_rank, count(*) AS seats
+  FROM (SELECT source_rank, row_number() OVER (ORDER BY q DESC, source_rank) AS r FROM q1), (SELECT sum(target) AS total FROM src), k
+  WHERE r <= round(total / block) GROUP BY source_rank
+), q2 AS (
+  SELECT source_rank, shard, row_number() OVER (PARTITION BY source_rank ORDER BY words / (2 * u.i + 1) DESC, shard) AS r
+  FROM cell, unnest(range(CAST(3 * n AS BIGINT))) AS u(i)
+), quota AS (
+  SELECT cell.source_rank, cell.shard, greatest(n, 1) AS n, count(q2.r) AS quota,
+         CAST('0x' || substr(md5('mix:' || cell.source_rank || ':' || cell.shard), 1, 8) AS BIGINT) % greatest(n, 1) AS turn
+  FROM cell LEFT JOIN seats USING (source_rank)
+  LEFT JOIN q2 ON q2.source_rank = cell.source_rank AND q2.shard = cell.shard AND q2.r <= seats.seats
+  GROUP BY ALL
+), b AS (
+  SELECT c.*, quota, n, turn, block, u.i FROM c JOIN quota USING (source_rank, shard), k,
+         unnest(CASE WHEN size > 0 THEN range(CAST(pos // block AS BIGINT), CAST((pos + size - 1) // block + 1 AS BIGINT)) ELSE [0] END) AS u(i)
+)
+SELECT doc_id, any_value(size) AS size, any_value(source_size) AS source_size, any_value(target) AS target,
+       CAST(any_value(size * (quota // n)) + sum(CASE
+         WHEN size > 0 AND ((i + turn) % n + 1) * (quota % n) // n > (i + turn) % n * (quota % n) // n
+         THEN least(pos + size, (i + 1) * block) - greatest(pos, i * block) ELSE 0 END) AS BIGINT) AS taken
+FROM b GROUP BY doc_id
+"""
+
+
 @query
 def op5_benchmark_leaks(spark, sf_dir):
     return op5_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
