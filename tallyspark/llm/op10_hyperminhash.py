@@ -13,9 +13,10 @@ Links are found in two steps, and no bucket is ever expanded into its pairs:
    which it shares most bands, and components are formed;
 2. only buckets that still hold several components are searched further: in
    cells of bounded size, pairs of different components are estimated from
-   their registers (corrected for chance collisions), and those within
-   ``SIGMAS`` standard errors of the threshold are verified. A pair inside a
-   component can't change the result.
+   their registers, then from a finer sketch of 512 one-byte registers (both
+   corrected for chance collisions), and those within ``SIGMAS`` standard
+   errors of the threshold are verified. A pair inside a component can't change
+   the result.
 
 Verification compares whole shingle sets. The result is one row per document.
 
@@ -40,9 +41,11 @@ from . import common, graph, textnp
 
 REGISTERS, ROWS = 128, 4
 MANTISSA = 10
+FINE = 512
 PERCENT = 80
 SIGMAS = 5
 CELL = 2048
+BLOCK_WORDS = 1 << 20
 SLICE = 4 << 20
 
 
@@ -61,19 +64,38 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of rows of registers, less the expected number of
-    chance collisions, and their standard errors at the threshold."""
-    equal = ((a == b) & (a > 0)).sum(-1)
+def fine_registers(shingles: np.ndarray) -> np.ndarray:
+    """A byte of the least value in each of ``FINE`` buckets (0: empty)."""
+    out = np.zeros(FINE, np.uint8)
+    if len(shingles):
+        bucket = (shingles >> np.uint64(64 - FINE.bit_length() + 1)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        out[bucket[first]] = shingles[first] % np.uint64(255) + np.uint64(1)
+    return out
+
+
+def within_reach(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, chance: float) -> np.ndarray:
+    """Which pairs of registers leave the threshold possible. ``chance`` is
+    the probability that two different least values have equal registers.
+
+    A filled bucket shows one element of the union, drawn without replacement,
+    so the error shrinks as the buckets come to show all of the union."""
+    both = (a > 0) & (b > 0)
+    equal = ((a == b) & both).sum(-1)
     either = np.maximum(((a > 0) | (b > 0)).sum(-1), 1)
-    ratio = na / nb
-    chance = 0.1699 * either / (1 << MANTISSA) * 4 * ratio / (1 + ratio) ** 2
+    equal = (equal - chance * both.sum(-1)) / (1 - chance)
     share = PERCENT / 100
-    return np.maximum(equal - chance, 0) / either, np.sqrt(share * (1 - share) / either)
+    union = np.maximum((na + nb) / (1 + share), either)
+    error = np.sqrt(share * (1 - share) / either * (1 - (either - 1) / union))
+    return equal / either + SIGMAS * error >= share
+
+
+#: Probability that two independent HyperMinHash registers are equal.
+CHANCE = 0.1699 / (1 << MANTISSA)
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, n (set size), cls (digest of the set) and regs of each document."""
+    """id, n (set size), cls (digest of the set), regs and fine of each document."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +104,16 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([
                 piece.column("id"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                pa.array([registers(s).tobytes() for s in sets], pa.binary())], ["id", "n", "cls", "regs"])
+                pa.array([registers(s).tobytes() for s in sets], pa.binary()),
+                pa.array([fine_registers(s).tobytes() for s in sets], pa.binary())], ["id", "n", "cls", "regs", "fine"])
+
+    return rows.mapInArrow(run, "id long, n long, cls binary, regs binary, fine binary")
+
 
-    return rows.mapInArrow(run, "id long, n long, cls binary, regs binary")
+def _linked(s: np.ndarray, t: np.ndarray) -> bool:
+    both = np.sort(np.concatenate([s, t]))
+    same = int((both[1:] == both[:-1]).sum())
+    return len(both) > 0 and 100 * same >= PERCENT * (len(both) - same)
 
 
 def verify(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -103,18 +132,47 @@ def verify(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, words:
             good = []
             for s, j in zip(textnp.shingle_sets(textnp.words(piece.column("text_a")), words),
                             b.indices.to_pylist(), strict=True):
-                t = right_sets[j]
-                both = np.sort(np.concatenate([s, t]))
-                common_size = int((both[1:] == both[:-1]).sum())
-                good.append(100 * common_size >= PERCENT * (len(both) - common_size) and len(both) > 0)
+                good.append(_linked(s, right_sets[j]))
             yield pa.RecordBatch.from_arrays([piece.column("a"), piece.column("b")], ["a", "b"]).filter(pa.array(good))
 
     return left.join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def verify_blocks(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """As ``verify``, for documents with many partners: ids are dealt into
+    blocks of about ``BLOCK_WORDS`` words (``sizes``: rep, n), and a pair of
+    blocks loads each of its documents once, whatever the number of pairs."""
+    asked = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    total = asked.join(sizes, "rep").agg(F.sum("n")).first()[0] or 0
+    blocks = F.lit(max(1, -(-total // BLOCK_WORDS)))
+    of = lambda c: F.pmod(F.xxhash64(c), blocks).cast("int")
+    dealt = pairs.select("a", "b", F.least(of("a"), of("b")).alias("i"), F.greatest(of("a"), of("b")).alias("j"))
+    block = [F.col("i").alias("bi"), F.col("j").alias("bj")]
+    wanted = common.hinted(dealt.select(F.col("a").alias("id"), *block).union(dealt.select("b", *block)).distinct())
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id")
+
+    def run(pairs, texts):
+        a, b = (pairs.column(c).to_numpy() for c in "ab")
+        ids, sets = [], []
+        for piece in common.slices(texts.to_batches(), "text", SLICE):
+            ids.append(piece.column("id").to_numpy())
+            sets += textnp.shingle_sets(textnp.words(piece.column("text")), words)
+        ids = np.concatenate(ids or [np.zeros(0, np.int64)])
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        span = lambda x: zip(np.searchsorted(ids, x), np.searchsorted(ids, x, "right"), strict=True)
+        good = np.zeros(len(a), bool)
+        for k, ((p, q), (r, s)) in enumerate(zip(span(a), span(b), strict=True)):
+            # rows that share an id link it if any of them does
+            good[k] = any(_linked(sets[x], sets[y]) for x in order[p:q] for y in order[r:s])
+        return pa.table({"a": a[good], "b": b[good]})
+
+    return dealt.groupBy("i", "j").cogroup(texts.groupBy("bi", "bj")).applyInArrow(run, "a long, b long")
+
+
 def open_pairs(cells: DataFrame) -> DataFrame:
     """Pairs of different components inside a cell (key, i, j, rep, side,
-    label, n, regs, band) that the registers can't rule out."""
+    label, n, regs, fine, band) that the registers can't rule out."""
     def one(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         rep, label, size, regs, half = t["rep"], t["label"], t["n"].astype(float), t["regs"], t["half"]
         band = int(t["band"][0])
@@ -129,10 +187,11 @@ def open_pairs(cells: DataFrame) -> DataFrame:
             ix, iy = np.nonzero(apart)
             for cut in range(0, len(ix), 1 << 14):
                 a, b = x[ix[cut:cut + (1 << 14)]], iy[cut:cut + (1 << 14)]
-                share, error = estimate(regs[a], regs[b], size[a], size[b])
-                fits = share + SIGMAS * error >= PERCENT / 100
-                fits &= 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
+                fits = 100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b])
                 a, b = a[fits], b[fits]
+                for table, chance in ((regs, CHANCE), (t["fine"], 1 / 255)):
+                    fits = within_reach(table[a], table[b], size[a], size[b], chance)
+                    a, b = a[fits], b[fits]
                 # a pair that shares an earlier band is reported there
                 same = (regs[a] == regs[b]).reshape(len(a), REGISTERS // ROWS, ROWS).all(2) & (regs[a].reshape(len(a), REGISTERS // ROWS, ROWS) > 0).any(2)
                 new = same.argmax(1) == band
@@ -144,9 +203,9 @@ def open_pairs(cells: DataFrame) -> DataFrame:
         held: pa.Table | None = None
 
         def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            t = {c: table.column(c).to_numpy() for c in table.column_names if c != "regs"}
-            data, _ = textnp.flat(table.column("regs"))
-            t["regs"] = data.view(np.uint16).reshape(-1, REGISTERS)
+            t = {c: table.column(c).to_numpy() for c in table.column_names if c not in ("regs", "fine")}
+            t["regs"] = textnp.flat(table.column("regs"))[0].view(np.uint16).reshape(-1, REGISTERS)
+            t["fine"] = textnp.flat(table.column("fine"))[0].reshape(-1, FINE)
             new = np.flatnonzero(np.concatenate([[True], (t["key"][1:] != t["key"][:-1]) | (t["i"][1:] != t["i"][:-1]) | (t["j"][1:] != t["j"][:-1])]))
             for a, b in zip(new, np.append(new[1:], len(t["key"])), strict=True):
                 x, y = one({k: v[a:b] for k, v in t.items()})
@@ -174,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     that were verified for its class)."""
     sketches = common.store(sketch(docs, id_col, text_col, words), "hmh-sketches")
     classes = common.store(sketches.where("n > 0 AND id IS NOT NULL").groupBy("cls").agg(
-        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")), "hmh-classes")
+        F.min("id").alias("rep"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("regs", "fine")]), "hmh-classes")
     width = 2 * ROWS
     cut = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda i: F.substring("regs", i * width + 1, F.lit(width)))
     bands = classes.select("rep", F.posexplode(cut).alias("band", "part")).where(F.col("part") != F.lit(bytes(width))) \
@@ -195,9 +254,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select("key", "band", "rep", "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                          F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("half"))
-    cells = cells.join(classes.select("rep", "n", "regs"), "rep")
+    cells = cells.join(classes.select("rep", "n", "regs", "fine"), "rep")
     pairs = common.store(open_pairs(cells), "hmh-pairs")
-    more = common.store(verify(docs, pairs, id_col, text_col, words), "hmh-more")
+    more = common.store(verify_blocks(docs, pairs, classes, id_col, text_col, words), "hmh-more")
     links = links.unionByName(more)
     labels = graph.components(links)
 
