@@ -52,38 +52,41 @@ _FIRST = np.iinfo(np.int64).min
 
 # --- one shard -------------------------------------------------------------------------------------------------------
 
-def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffixes sorted by their first ``depth`` bytes at least, and for each a
+def suffix_array(data: np.ndarray, depth: int, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes sorted by their first ``depth`` bytes, and for each a
     bound of the prefix it shares with the one before it (it is shorter than
-    the bound; 0: not told apart).
+    the bound; 0: not told apart). With ``places`` (ascending) only the
+    suffixes that start there; every other place counts as unlike all others.
 
     Larsson-Sadakane: suffixes start sorted by a few bytes; then only groups
     that are not told apart are sorted again, by the rank ``h`` bytes on."""
     n = len(data)
-    bits = max(1, int(n).bit_length())
-    wide = bits * 3 <= 64
+    places = np.arange(n) if places is None else places
+    m = len(places)
+    bits, wide_bits = max(1, int(m).bit_length()), int(2 * n + 1).bit_length()
+    wide = 2 * bits + wide_bits <= 64
     h = (64 - bits) // 8 if wide else 4
     mask = _U((1 << bits) - 1)
     padded = np.concatenate([data, np.zeros(h, np.uint8)])
-    key = np.zeros(n, _U)
+    key = np.zeros(m, _U)
     for i in range(h):
-        key = (key << _U(8)) | padded[i:i + n]
-    key = np.sort((key << _U(bits)) | np.arange(n, dtype=_U))
-    sa = (key & mask).astype(np.int64)
-    new = np.ones(n, bool)
+        key = (key << _U(8)) | padded[places + i]
+    key = np.sort((key << _U(bits)) | np.arange(m, dtype=_U))
+    sa = places[(key & mask).astype(np.int64)]
+    new = np.ones(m, bool)
     new[1:] = (key[1:] >> _U(bits)) != (key[:-1] >> _U(bits))
     bound = np.where(new, h, 0).astype(np.int32)
     start = np.flatnonzero(new)
-    size = np.diff(np.append(start, n))
-    rank = np.empty(n, np.int64)
+    size = np.diff(np.append(start, m))
+    rank = np.arange(n, 2 * n)  # unlike all others
     rank[sa] = np.repeat(start, size)
     act = np.flatnonzero(np.repeat(size > 1, size))
     while len(act) and h < depth:
-        p = sa[act]
-        own, ahead = rank[p], np.where(p + h < n, rank[np.minimum(p + h, n - 1)] + 1, 0)
+        p, step = sa[act], min(h, depth - h)  # the last step looks no further than depth, as places beyond may be left out
+        own, ahead = rank[p], np.where(p + step < n, rank[np.minimum(p + step, n - 1)] + 1, 0)
         if wide:
-            key = np.sort((own.astype(_U) << _U(2 * bits)) | (ahead.astype(_U) << _U(bits)) | p.astype(_U))
-            p = (key & mask).astype(np.int64)
+            key = np.sort((own.astype(_U) << _U(wide_bits + bits)) | (ahead.astype(_U) << _U(bits)) | np.arange(len(act), dtype=_U))
+            p = p[(key & mask).astype(np.int64)]
             key = key >> _U(bits)
             differ = key[1:] != key[:-1]
         else:
@@ -92,7 +95,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
             differ = (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])
         sa[act] = p
         new = np.concatenate([[True], differ])
-        h *= 2
+        h += step
         first = bound[act]
         bound[act] = np.where(new & (first == 0), h, first)
         start = np.flatnonzero(new)
@@ -126,22 +129,39 @@ def common_prefixes(data: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarra
     return length[run] - (np.arange(len(p)) - at[run])
 
 
-def covered_starts(data: np.ndarray, valid: np.ndarray, length: int = LENGTH) -> np.ndarray:
+def repeated(gram: np.ndarray) -> np.ndarray:
+    """Positions (ascending) of the bytes of grams whose hash occurs again."""
+    if len(gram) < 2:
+        return np.zeros(0, np.int64)
+    bits = _U(int(len(gram)).bit_length())
+    key = np.sort(((gram >> bits) << bits) | np.arange(len(gram), dtype=_U))
+    same = (key[1:] >> bits) == (key[:-1] >> bits)
+    found = (key & ((_U(1) << bits) - _U(1))).astype(np.int64)[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+    depth = np.zeros(len(gram) + GRAM, np.int8)
+    depth[found] += 1
+    depth[found + GRAM] -= 1
+    return np.flatnonzero(np.cumsum(depth[:-1], dtype=np.int32))
+
+
+def covered_starts(data: np.ndarray, valid: np.ndarray, gram: np.ndarray | None = None, length: int = LENGTH) -> np.ndarray:
     """Which valid starts have a string of ``length`` bytes that also starts
-    at an earlier valid place."""
+    at an earlier valid place. All grams of such a string occur again, so the
+    suffix array holds the suffixes that begin inside such a gram only."""
     out = np.zeros(len(data), bool)
-    if not valid.any():
+    places = repeated(string_hashes(data)[0] if gram is None else gram)
+    if not len(places) or not valid.any():
         return out
-    sa, bound = suffix_array(data, length)
+    sa, bound = suffix_array(data, length, places)
     near = np.flatnonzero((bound > length) | (bound == 0))
     near = near[near > 0]
-    p = sa[near]
-    order = np.argsort(p)
-    near, p = near[order], p[order]
+    at = np.zeros(len(data), np.int64)  # by place, so that neighbouring places follow one another
+    at[sa[near]] = near
+    p = np.flatnonzero(at)
+    near = at[p]
     long = near[common_prefixes(data, p, sa[near - 1]) >= length]
     if not len(long):
         return out
-    joined = np.zeros(len(data) + 1, bool)
+    joined = np.zeros(len(sa) + 1, bool)
     joined[long] = True
     member = np.flatnonzero(joined[:-1] | joined[1:])
     place = np.where(valid[sa[member]], sa[member], len(data))
@@ -158,25 +178,31 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+_BYTE = textnp.mix(np.arange(1, 257, dtype=_U))
+_ODD = [int(x) | 1 for x in textnp.mix(np.arange(1001, 1009, dtype=_U))]
+
+
 def string_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the ``GRAM`` bytes and of the ``LENGTH`` bytes at each
-    position that has them, by doubling."""
-    h, width, at = textnp.mix(data.astype(_U) + _U(1)), 1, {}
-    while width < LENGTH:
+    position that has them, by doubling (multiply and add; mixed at the end)."""
+    h, width, at = _BYTE[data], 1, {}
+    while len(h):
         at[width] = h
         if 2 * width > LENGTH or len(h) <= width:
             break
-        h = textnp.mix(h[:-width] * _U(0x9E3779B97F4A7C15 + 2 * width) + h[width:])
+        h = h[:-width] * _U(_ODD[width.bit_length()]) + h[width:]
+        if width == 4:
+            h ^= h >> _U(29)
         width *= 2
+    gram = textnp.mix(at[GRAM]) if GRAM in at else np.zeros(0, _U)
     n = max(0, len(data) - LENGTH + 1)
-    if not n:
-        return at.get(GRAM, np.zeros(0, _U)), np.zeros(0, _U)
     whole, done, left = np.zeros(n, _U), 0, LENGTH
-    for width in sorted(at, reverse=True):
+    for width in sorted(at, reverse=True) if n else ():
         while left >= width:
-            whole = textnp.mix(whole * _U(0xC2B2AE3D27D4EB4F) + at[width][done:done + n])
+            whole *= _U(_ODD[0])
+            whole += at[width][done:done + n]
             done, left = done + width, left - width
-    return at[GRAM], whole
+    return gram, textnp.mix(whole)
 
 
 def anchors(gram: np.ndarray, n: int) -> np.ndarray:
@@ -191,10 +217,9 @@ def anchors(gram: np.ndarray, n: int) -> np.ndarray:
     return (key & _U((1 << 32) - 1)).astype(np.int64)
 
 
-def owned(data: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def owned(gram: np.ndarray, whole: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of the valid strings: gram hash, two hashes of all the strings
     that it owns, first start and number."""
-    gram, whole = string_hashes(data)
     n = len(whole)
     if not n:
         z = np.zeros(0, np.int64)
@@ -253,7 +278,8 @@ def _shards(rows: DataFrame, buckets: int) -> DataFrame:
             valid = np.zeros(len(data), bool)
             for a, b in zip(offsets[:-1], offsets[1:], strict=True):
                 valid[a:max(a, b - LENGTH + 1)] = True
-            covered = covered_starts(data, valid)
+            hashes = string_hashes(data)
+            covered = covered_starts(data, valid, hashes[0])
             out = []
             begin, end = _runs(covered)
             doc = np.searchsorted(offsets, begin, "right") - 1
@@ -263,12 +289,12 @@ def _shards(rows: DataFrame, buckets: int) -> DataFrame:
                 own = doc == d
                 out.append((int(textnp.mix(np.array([row[d]]).astype(_U))[0] % _U(buckets)), int(row[d]), *[None] * 5,
                             common.blob(begin[own].astype("<u4")), common.blob(end[own].astype("<u4"))))
-            gram, c1, c2, first, number = owned(data, valid)
+            gram, c1, c2, first, number = owned(*hashes, valid)
             left = np.concatenate([[0], np.cumsum(~covered)])
             keep = left[first + number] > left[first] if len(first) else np.zeros(0, bool)
             gram, c1, c2, first, number = gram[keep], c1[keep], c2[keep], first[keep], number[keep]
             doc = np.searchsorted(offsets, first, "right") - 1
-            bucket = ((gram >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+            bucket = (textnp.mix(gram) % _U(buckets)).astype(np.int64)  # anchors are least hashes, so not even themselves
             for b in np.unique(bucket):
                 own = np.flatnonzero(bucket == b)
                 own = own[np.argsort(gram[own], kind="stable")]  # a sorted run
@@ -323,7 +349,7 @@ def _neighbourhoods(rows: DataFrame, opened: DataFrame, buckets: int) -> DataFra
     ``c`` holds the bytes one after the other, ``n`` the number of strings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in common.slices(batches, "text", SHARD * 4):
-            parts: dict[int, list] = {}
+            got: list[tuple] = []
             for r in piece.to_pylist():
                 data = np.frombuffer(r["text"] or b"", np.uint8)
                 row, key_id = r["row"], _FIRST if r["id"] is None else r["id"]
@@ -336,7 +362,10 @@ def _neighbourhoods(rows: DataFrame, opened: DataFrame, buckets: int) -> DataFra
                         else:
                             own = [(key, a, b)]
                         for k, x, y in own:
-                            parts.setdefault((k >> 32) * buckets >> 32, []).append((k, key_id, row, x, y - x, data[x:y - 1 + LENGTH].tobytes()))
+                            got.append((k, key_id, row, x, y - x, data[x:y - 1 + LENGTH].tobytes()))
+            parts: dict[int, list] = {}
+            for b, item in zip((textnp.mix(np.array([x[0] for x in got], _U)) % _U(buckets)).tolist(), got, strict=True):
+                parts.setdefault(b, []).append(item)
             out = []
             for b, items in parts.items():
                 k, i, r, s, n, text = zip(*items, strict=True)
@@ -345,8 +374,6 @@ def _neighbourhoods(rows: DataFrame, opened: DataFrame, buckets: int) -> DataFra
             if out:
                 yield _batch(out, _PART_NAMES, _PART_TYPES)
 
-    held = F.aggregate("key", F.lit(64), lambda a, x: a + 4 * F.octet_length(x))
-    opened = common.hinted_bytes(opened, held, BROADCAST_BYTES)
     return rows.join(opened.withColumnRenamed("row", "of"), F.col("row") == F.col("of")).mapInArrow(run, _PARTS)
 
 
