@@ -68,6 +68,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterat
                 start, total = i, 0
             total += int(n)
         yield batch.slice(start)
+        pa.default_memory_pool().release_unused()  # workers live on from one stage to the next
 
 
 def range_bounds(df: DataFrame, key: str, shards: int, per_shard: int = 64) -> list:

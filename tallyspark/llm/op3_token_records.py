@@ -42,11 +42,11 @@ from pyspark.sql import functions as F
 from . import common, textnp
 
 SHARD_BYTES = 32 << 20
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 MANIFEST = "shard int, part string, path string, index_path string, records long, n_tokens long"
 _HEAD, _BODY = "<QI", "<qBB"
 #: Words that are known by heart in a task; later ones are encoded in each slice that has them.
-CACHED_WORDS = 150_000
+CACHED_WORDS = 60_000
 _PLAIN = re.compile(r"([a-zà-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 _LATIN_LOWER = {c: c + 32 for c in range(0xC0, 0xDF) if c != 0xD7}
 #: How byte-level BPE writes the bytes of UTF-8 that are no printable Latin-1 character.

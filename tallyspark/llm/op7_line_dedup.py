@@ -9,12 +9,13 @@ or its class is linked with one that begins earlier.
 * Words are counted over all lines. The most frequent ones, ``TABLE_WORDS`` at
   most, are broadcast with their rank; all others are rarer. A line's words
   are ordered by rarity and the first n - ceil(0.8 n) + 1 index it.
-* Classes meet on an index word. Length, positional and bitmap filters (two
-  lines at the threshold differ in few words, so in few bits of a 128-bit
-  signature) reject pairs inside the join without losing any at the threshold.
-* Each class is first held against the earliest class of each index word, and
-  only those that found no earlier match there against all earlier ones, so
-  many variants of one line don't meet pairwise.
+* Index entries are shuffled as packed arrays, and lines meet on an index word.
+  Length, positional and bitmap filters (two lines at the threshold differ in
+  few words, so in few bits of a 64-bit signature) reject pairs without losing
+  any at the threshold.
+* Each line is first held against the earliest line that passes the filters on
+  each index word, and only lines for which that one fails verification against
+  all earlier ones, so many variants of one line don't meet pairwise.
 * Pairs are verified on their whole lines.
 
 Words are runs of other than space and 9-13, with A-Z lower-cased, known by
@@ -29,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, textnp
 
 TABLE_WORDS = 4_000_000
 SLICE = 4 << 20
+#: Lines that are held against all earlier ones in one go (their places are broadcast).
+OPEN_BLOCK = 200_000
 _U = np.uint64
 _TOKEN = _U((1 << 48) - 1)
 _RANKED = _U(1 << 47)
@@ -77,15 +80,10 @@ class Lines:
         else:
             self.k1 = self.k2 = np.zeros(0, np.int64)
 
-    def bitmaps(self) -> list[np.ndarray]:
-        """Two words of signature per line: one bit for each token."""
-        bit = textnp.mix(self.token + _U(7))
-        out = []
-        for half in (0, 1):
-            own = (bit & _U(1)) == _U(half)
-            value = np.where(own, _U(1) << ((bit >> _U(1)) & _U(63)), _U(0))
-            out.append(np.bitwise_or.reduceat(value, self.edge[:-1]).view(np.int64) if len(self.n) else np.zeros(0, np.int64))
-        return out
+    def signatures(self) -> np.ndarray:
+        """One bit of 64 for each word of a line, by its hash."""
+        bit = _U(1) << (textnp.mix(self.token + _U(7)) & _U(63))
+        return np.bitwise_or.reduceat(bit, self.edge[:-1]) if len(self.n) else np.zeros(0, _U)
 
 
 class Rarity:
@@ -180,13 +178,28 @@ def word_table(scan: DataFrame, limit: int = TABLE_WORDS) -> Rarity:
     return Rarity(join("tokens", "<u8").astype(_U), join("counts", "<i8"), least == 1)
 
 
-def _index(docs: DataFrame, rarity: Rarity) -> DataFrame:
-    """Index entries (token, class, n, i, bitmap, first place) of the classes
-    of each slice."""
-    sent = docs.sparkSession.sparkContext.broadcast(rarity)
-    schema = "token long, k1 long, k2 long, n int, i int, b1 long, b2 long, id long, place int"
-    names = [x.split()[0] for x in schema.split(", ")]
+_ENTRY = ["token", "id", "place", "n", "i", "bits"]
+_ENTRIES = "bucket int, base long, size int, " + ", ".join(f"`{c}` binary" for c in _ENTRY)
+_PAIR = ["xid", "xplace", "yid", "yplace"]
+_PAIRS = ", ".join(f"{c} long" for c in _PAIR)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Unsigned integers in as few bytes each as the largest needs."""
+    size = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    return common.blob(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size])
 
+
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    raw = np.frombuffer(data, np.uint8).reshape(n, -1)
+    out[:, :raw.shape[1]] = raw
+    return out.view("<u8").ravel()
+
+
+def _index(docs: DataFrame, sent, buckets: int) -> DataFrame:
+    """Index entries of the lines of each slice (one line per class), as
+    packed columns per bucket of tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in common.slices(batches, "text", SLICE):
             lines = Lines(piece.column("text"))
@@ -194,10 +207,11 @@ def _index(docs: DataFrame, rarity: Rarity) -> DataFrame:
                 continue
             ids = np.array([_FAR if x is None else x for x in piece.column("id").to_pylist()], np.int64)[lines.text]
             order = np.lexsort((lines.place, ids, lines.k2, lines.k1))
-            first = order[np.concatenate([[True], (lines.k1[order][1:] != lines.k1[order][:-1]) | (lines.k2[order][1:] != lines.k2[order][:-1])])]
-            first = np.sort(first)
-            b1, b2 = lines.bitmaps()
+            k1, k2 = lines.k1[order], lines.k2[order]
+            first = np.sort(order[np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])])
+            bits = lines.signatures()
             rank = sent.value.order(lines.token)
+            got = []
             for a in range(0, len(first), 1 << 16):
                 own = first[a:a + (1 << 16)]
                 n = lines.n[own]
@@ -210,83 +224,137 @@ def _index(docs: DataFrame, rarity: Rarity) -> DataFrame:
                 if sent.value.complete:  # a word of one line only meets nothing
                     good &= token >= _RANKED
                 line = own[number[good]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(token[good].view(np.int64)), pa.array(lines.k1[line]), pa.array(lines.k2[line]), pa.array(lines.n[line], pa.int32()),
-                    pa.array(i[good], pa.int32()), pa.array(b1[line]), pa.array(b2[line]), pa.array(ids[line]), pa.array(lines.place[line], pa.int32())], names)
-
-    # slices of one class differ in the first place only; the least is the class's
-    return docs.mapInArrow(run, schema).groupBy("token", "k1", "k2").agg(
-        F.min(F.struct("id", "place")).alias("at"), *[F.first(c).alias(c) for c in ("n", "i", "b1", "b2")])
-
-
-def _near(x: str, y: str) -> Column:
-    """Filters that no pair at the threshold fails: y is earlier, and sizes,
-    positions of the index word and bitmaps leave enough common words."""
-    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
-    need = F.floor((4 * (nx + ny) + 8) / F.lit(9))
-    bits = F.bit_count(F.col(f"{x}.b1").bitwiseXOR(F.col(f"{y}.b1"))) + F.bit_count(F.col(f"{x}.b2").bitwiseXOR(F.col(f"{y}.b2")))
-    return (F.col(f"{y}.at") < F.col(f"{x}.at")) & (5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)) \
-        & (F.least(nx - F.col(f"{x}.i"), ny - F.col(f"{y}.i")) >= need) & (bits <= nx + ny - 2 * need)
-
+                got.append((token[good], ids[line], lines.place[line], lines.n[line], i[good], bits[line]))
+            columns = [np.concatenate(c) for c in zip(*got, strict=True)]
+            if not len(columns[0]):
+                continue
+            bucket = (textnp.mix(columns[0]) % _U(buckets)).astype(np.int64)
+            order = np.lexsort((columns[0], bucket))
+            columns, edge = [c[order] for c in columns], np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(edge[1:] > edge[:-1])
+            base = [int(columns[1][edge[b]:edge[b + 1]].min()) for b in used]
+            columns[1] = columns[1].view(_U) - np.repeat(np.array(base, np.int64).view(_U), np.diff(edge)[used])
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(base, pa.int64()), pa.array(np.diff(edge)[used], pa.int32()), *[
+                pa.array([_pack(c[edge[b]:edge[b + 1]]) for b in used], pa.binary()) for c in columns]], ["bucket", "base", "size", *_ENTRY])
+
+    return docs.mapInArrow(run, _ENTRIES)
+
+
+def _may_match(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> np.ndarray:
+    """Filters that no pair at the threshold fails on its first common index
+    word: sizes, positions and signatures leave enough common words."""
+    nx, ny = x["n"].astype(np.int64), y["n"].astype(np.int64)
+    need = (4 * (nx + ny) + 8) // 9
+    good = 5 * np.minimum(nx, ny) >= 4 * np.maximum(nx, ny)
+    good &= np.minimum(nx - x["i"], ny - y["i"]) >= need
+    good &= np.bitwise_count(x["bits"] ^ y["bits"]) <= nx + ny - 2 * need
+    return good & ((y["id"] < x["id"]) | ((y["id"] == x["id"]) & (y["place"] < x["place"])))
+
+
+def _candidates(entries: DataFrame, buckets: int, only=None) -> DataFrame:
+    """For each line and index word the earliest line that may match it; with
+    ``only`` (a broadcast set of places) all lines that may match those."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = []
+        for batch in batches:
+            for base, *packed in zip(batch.column("base").to_pylist(), *[batch.column(c).to_pylist() for c in ("size", *_ENTRY)], strict=True):
+                n, *packed = packed
+                part = [_unpack(x, n) for x in packed]
+                part[1] = (part[1] + np.array([base], np.int64).view(_U)).view(np.int64)
+                got.append([x if k < 2 or k == 5 else x.astype(np.uint32) for k, x in enumerate(part)])
+        if not got:
+            return
+        e = {c: np.concatenate([part[k] for part in got]) for k, c in enumerate(_ENTRY)}
+        got.clear()
+        order = np.argsort(e["token"], kind="stable")
+        token = e["token"][order]
+        again = np.zeros(len(token) + 1, bool)
+        again[1:-1] = token[1:] == token[:-1]
+        order = order[again[:-1] | again[1:]]  # a token that only one line has meets nothing
+        e = {c: v[order] for c, v in e.items()}
+        order = np.lexsort((e["place"], e["id"], e["token"]))
+        e = {c: v[order] for c, v in e.items()}
+        start = np.concatenate([[True], e["token"][1:] != e["token"][:-1]]) if len(order) else np.zeros(0, bool)
+        first = np.maximum.accumulate(np.where(start, np.arange(len(start)), 0)) if len(order) else np.zeros(0, np.int64)
+        x = np.flatnonzero(~start)
+        if only is not None:
+            x = x[np.fromiter(((i, p) in only.value for i, p in zip(e["id"][x].tolist(), e["place"][x].tolist(), strict=True)), bool, len(x))]
+        y = first[x]
+        out = []
+        while len(x):  # one step further in all groups at once
+            good = _may_match({c: v[x] for c, v in e.items()}, {c: v[y] for c, v in e.items()})
+            out.append(np.stack([e["id"][x[good]], e["place"][x[good]].astype(np.int64), e["id"][y[good]], e["place"][y[good]].astype(np.int64)]))
+            y = y + 1
+            more = y < x if only is not None else (y < x) & ~good
+            x, y = x[more], y[more]
+        if out:
+            pairs = np.unique(np.concatenate(out, 1), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs], _PAIR)
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    side = lambda a, s: [F.col(f"{a}.{c}").alias(f"{s}{c}") for c in ("k1", "k2", "at")]
-    return joined.select(*side("x", "x"), *side("y", "y")).dropDuplicates(["xk1", "xk2", "yk1", "yk2"])
+    return entries.repartitionById(buckets, F.col("bucket")).mapInArrow(run, _PAIRS).distinct()
 
 
 def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Classes (k1, k2) of the later sides whose whole lines reach 0.8."""
-    pairs = common.store(pairs, "line-pairs")
-    wanted = pairs.select(F.col("xat").alias("at")).union(pairs.select(F.col("yat").alias("at"))).distinct().select("at.id", "at.place")
+    """(k1, k2, xid, xplace, yid, yplace): pairs whose whole lines reach 0.8,
+    with the class of the later line."""
+    wanted = pairs.select(F.col("xid").alias("id"), F.col("xplace").alias("place")).union(pairs.select("yid", "yplace")).distinct()
     wanted = common.hinted(wanted)
     texts = docs.select(F.coalesce("id", F.lit(_FAR)).alias("of"), "text")
     lines = texts.join(wanted, texts.of == wanted.id).select(
-        F.struct("id", "place").alias("at"), F.element_at(F.split("text", "\n"), F.col("place") + 1).alias("line"))
+        "id", "place", F.element_at(F.split("text", "\n"), F.col("place").cast("int") + 1).alias("line"))
     lines = common.store(lines, "line-texts")
-    # joined on one flat key each, so that a place asked for by many pairs is split
-    x = lines.select(F.col("at").alias("xat"), F.col("line").alias("x"))
-    y = lines.select(F.col("at").alias("yat"), F.col("line").alias("y"))
+    x = lines.select(F.col("id").alias("xid"), F.col("place").alias("xplace"), F.col("line").alias("x"))
+    y = lines.select(F.col("id").alias("yid"), F.col("place").alias("yplace"), F.col("line").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in common.slices(batches, "x", SLICE):
             x, y = (textnp.shingle_sets(textnp.words(piece.column(c)), 1) for c in "xy")
-            good = is_class(piece, "x") & is_class(piece, "y")
-            for k in np.flatnonzero(good):
-                both = np.sort(np.concatenate([x[k], y[k]]))
+            lines = Lines(piece.column("x"))
+            classes = np.zeros((2, piece.num_rows), np.int64)
+            classes[:, lines.text] = lines.k1, lines.k2
+            good = np.zeros(piece.num_rows, bool)
+            for k, (a, b) in enumerate(zip(x, y, strict=True)):
+                both = np.sort(np.concatenate([a, b]))
                 same = int((both[1:] == both[:-1]).sum())
-                good[k] = 5 * same >= 4 * (len(both) - same)
-            yield pa.RecordBatch.from_arrays([piece.column("xk1"), piece.column("xk2")], ["k1", "k2"]).filter(pa.array(good))
-
-    def is_class(piece: pa.RecordBatch, side: str) -> np.ndarray:  # documents can share an id
-        lines, out = Lines(piece.column(side)), np.zeros(piece.num_rows, bool)
-        k1, k2 = (piece.column(side + c).to_numpy()[lines.text] for c in ("k1", "k2"))
-        out[lines.text] = (lines.k1 == k1) & (lines.k2 == k2)
-        return out
+                good[k] = len(both) > 0 and 5 * same >= 4 * (len(both) - same)
+            own = [piece.column(c) for c in _PAIR]
+            yield pa.RecordBatch.from_arrays([pa.array(classes[0]), pa.array(classes[1]), *own], ["k1", "k2", *_PAIR]).filter(pa.array(good))
 
-    return pairs.join(x, "xat").join(y, "yat").select("xk1", "xk2", "yk1", "yk2", "x", "y").mapInArrow(run, "k1 long, k2 long").distinct()
+    # documents can share an id, and then each of their lines at a place is held against the pair's other side
+    both = pairs.join(x, ["xid", "xplace"]).join(y, ["yid", "yplace"]).select(*_PAIR, "x", "y")
+    return both.mapInArrow(run, f"k1 long, k2 long, {_PAIRS}")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
     """One row per document: id, n_lines, n_removed, removed (numbers of the
     removed lines, from 0)."""
     spark = docs.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    scan = common.store(_scan(rows.withColumn("row", F.monotonically_increasing_id()),
-                              int(spark.conf.get("spark.sql.shuffle.partitions"))), "line-scan")
-    entries = common.store(_index(rows, word_table(scan, table_words)), "line-index")
-
-    least = entries.groupBy("token").agg(F.min(F.struct("at", "k1", "k2", "n", "i", "b1", "b2")).alias("p"))
-    least = least.select("token", "p.*")
-    joined = entries.alias("x").join(least.alias("y"), F.col("x.token") == F.col("y.token")).where(_near("x", "y"))
-    found = common.store(_verify(rows, _pairs(joined)), "line-found")
-    rest = entries.join(common.hinted(found), ["k1", "k2"], "left_anti")
-    joined = rest.alias("x").join(entries.alias("y"), F.col("x.token") == F.col("y.token")).where(_near("x", "y"))
-    found = found.unionByName(_verify(rows, _pairs(joined))).withColumn("linked", F.lit(True))
+    scan = common.store(_scan(rows.withColumn("row", F.monotonically_increasing_id()), buckets), "line-scan")
+    rarity = spark.sparkContext.broadcast(word_table(scan, table_words))
+
+    pairs = common.store(_candidates(_index(rows, rarity, buckets), buckets), "line-pairs")
+    best = pairs.groupBy("xid", "xplace").agg(F.min(F.struct("yid", "yplace")).alias("y")).select("xid", "xplace", "y.*")
+    found = common.store(_verify(rows, best), "line-found")
+    # the other index words' candidates of lines whose earliest one failed, then all of the rest
+    without = lambda df, done: df.join(done.select("xid", "xplace").distinct(), ["xid", "xplace"], "left_anti")
+    other = common.store(without(pairs, found).join(best, _PAIR, "left_anti"), "line-pairs")
+    found = found.unionByName(common.store(_verify(rows, other), "line-found"))
+    later = common.store(without(pairs.select("xid", "xplace").distinct(), found), "line-open")
+    blocks = -(-later.count() // OPEN_BLOCK)
+    for b in range(blocks):  # mostly none or one
+        own = later.where(F.pmod(F.xxhash64("xid", "xplace"), F.lit(blocks)) == b).collect()
+        only = spark.sparkContext.broadcast({(r.xid, r.xplace) for r in own})
+        rest = common.store(_candidates(_index(rows, rarity, buckets), buckets, only).join(pairs, _PAIR, "left_anti"), "line-pairs")
+        found = found.unionByName(common.store(_verify(rows, rest), "line-found"))
 
     lines = scan.where("bucket IS NULL")
-    here = F.struct(F.coalesce("id", F.lit(_FAR)).alias("id"), "place")
+    here = F.struct(F.coalesce("id", F.lit(_FAR)).alias("id"), F.col("place").cast("long").alias("place"))
+    earlier = found.groupBy("k1", "k2").agg(F.min(F.struct(F.col("yid").alias("id"), F.col("yplace").alias("place"))).alias("match"))
     classes = lines.where("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min(here).alias("first"), F.count("*").alias("copies"))
-    classes = classes.join(found, ["k1", "k2"], "left").where("copies > 1 OR linked")
+    classes = classes.join(earlier, ["k1", "k2"], "left").withColumn("linked", F.coalesce(F.col("match") < F.col("first"), F.lit(False)))
+    classes = classes.where("copies > 1 OR linked").drop("match", "copies")
     judged = lines.join(classes, ["k1", "k2"], "left")
     gone = F.coalesce(F.col("linked") | (F.col("first") < here), F.lit(False))
     out = judged.groupBy("row", "id").agg(F.max("n_lines").alias("n_lines"), F.sum(gone.cast("long")).alias("n_removed"),
@@ -296,7 +364,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def without_lines(docs: DataFrame, judged: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the removed lines taken out of the text."""
-    gone = judged.where("n_removed > 0").select(F.col(id_col).alias("of"), F.col("removed").alias("gone_lines"))
-    both = docs.join(common.hinted(gone), docs[id_col].eqNullSafe(F.col("of")), "left")
-    kept = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("gone_lines", i))
-    return both.withColumn(text_col, F.when(F.col("gone_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)
+    gone = judged.where("n_removed > 0").select(F.col(id_col).alias("_gone_of"), F.col("removed").alias("_gone_lines"))
+    both = docs.join(common.hinted(gone), docs[id_col].eqNullSafe(F.col("_gone_of")), "left")
+    kept = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone_lines", i))
+    return both.withColumn(text_col, F.when(F.col("_gone_lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))).select(*docs.columns)

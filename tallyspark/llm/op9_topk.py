@@ -6,9 +6,10 @@ postings (vector, impact above the shard's least value) in segments of
 descending quantised impact. A query processes segments score at a time, from
 the highest bound of contribution down, adding exact impacts to accumulators.
 What is left is bounded by the sum over dimensions of weight times the next
-segment's bound. It stops only when every vector outside a short list of
-possible members is proven to lie below the k-th best lower bound; the
-possible members are scored exactly. Shards' lists meet in a window over
+segment's bound. The vectors ahead are scored exactly now and then, and it
+stops only when every vector outside a short list of possible members is
+proven to lie below the k-th best of those; the possible members are scored
+exactly. Shards' lists meet in a window over
 (query, shard) lists of k rows.
 
 Queries go to all shards in blocks of bounded size (a broadcast of
@@ -35,9 +36,12 @@ from . import common
 SCALE = 256
 LIMIT = 1 << 24
 QUERY_BLOCK = 2048
-SHARD_ROWS = 4096
-LEVELS = 16
-POSSIBLE = 64
+SHARD_ROWS = 16384
+LEVELS = 4
+#: Vectors ahead that are scored exactly to bound the k-th best, and the share of a shard that may be left to exact scoring (one product).
+AHEAD, POSSIBLE = 64, 1 / 2
+#: Times that a query looks whether it can stop.
+CHECKS = 8
 SCORED = "query_id long, vec_id long, score long"
 
 
@@ -76,13 +80,13 @@ class ImpactIndex:
         ordered = np.take_along_axis(vectors, up, 0).T
         self.impact = {1: ordered - self.low[:, None], -1: self.high[:, None] - ordered[:, ::-1]}
         # bound of each segment: its first, highest impact; after the last nothing is left
-        self.bound = {s: np.concatenate([i[:, cuts[:-1]], np.zeros((dims, 1), np.int64)], 1) for s, i in self.impact.items()}
+        self.bound = {s: np.concatenate([i[:, cuts[:-1]].astype(np.int64), np.zeros((dims, 1), np.int64)], 1) for s, i in self.impact.items()}
 
     def search(self, q: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows that may be among the k best and their exact scores; ``own``
         marks the rows that are no candidates."""
         n = len(self.v)
-        if n - own.sum() <= max(k, POSSIBLE):
+        if n - own.sum() <= max(k, AHEAD):
             rows = np.flatnonzero(~own)
             return rows, self.v[rows] @ q
         dims = np.flatnonzero(q)
@@ -94,21 +98,23 @@ class ImpactIndex:
         acc = np.zeros(n, np.int64)
         acc[own] = -1 << 62
         left = int(gain[:, 0].sum())
-        every = max(1, len(turn) // 24)
+        base = int((q[dims] * np.where(sign > 0, self.low[dims], self.high[dims])).sum())
+        every, rows = max(1, len(turn) // CHECKS), np.arange(n)
         for done, t in enumerate(turn, 1):
             j, s = divmod(int(t), segments)
             d, sg = dims[j], int(sign[j])
             part = slice(self.cuts[s], self.cuts[s + 1])
             acc[self.order[sg][d, part]] += weight[j] * self.impact[sg][d, part]
             left -= int(gain[j, s] - gain[j, s + 1])
-            if done % every == 0 or done == len(turn):
-                theta = np.partition(acc, n - k)[n - k]
-                rows = np.flatnonzero(acc + left >= theta)
-                if len(rows) <= POSSIBLE:
-                    break
-        else:
-            theta = np.partition(acc, n - k)[n - k] if len(turn) else 0
-            rows = np.flatnonzero(acc + left >= theta)
+            if done % every == 0:
+                # the k-th best of some exact scores bounds the k-th best of all from below
+                ahead = np.argpartition(acc, n - AHEAD)[n - AHEAD:]
+                ahead = ahead[acc[ahead] >= 0]
+                if len(ahead) >= k:
+                    theta = np.partition(self.v[ahead] @ q - base, len(ahead) - k)[len(ahead) - k]
+                    rows = np.flatnonzero(acc + left >= theta)
+                    if len(rows) <= n * POSSIBLE:
+                        break
         rows = rows[~own[rows]]
         return rows, self.v[rows] @ q
 
