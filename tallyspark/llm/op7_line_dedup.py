@@ -11,8 +11,8 @@ or its class is linked with one that begins earlier.
   are ordered by rarity and the first n - ceil(0.8 n) + 1 index it.
 * Index entries are shuffled as packed arrays, and lines meet on an index word.
   Length, positional and bitmap filters (two lines at the threshold differ in
-  few words, so in few bits of a 64-bit signature) reject pairs without losing
-  any at the threshold.
+  few words, so in few bits of a 128-bit parity signature) reject pairs without
+  losing any at the threshold.
 * Each line is first held against the earliest line that passes the filters on
   each index word, and only lines for which that one fails verification against
   all earlier ones, so many variants of one line don't meet pairwise.
@@ -80,10 +80,16 @@ class Lines:
         else:
             self.k1 = self.k2 = np.zeros(0, np.int64)
 
-    def signatures(self) -> np.ndarray:
-        """One bit of 64 for each word of a line, by its hash."""
-        bit = _U(1) << (textnp.mix(self.token + _U(7)) & _U(63))
-        return np.bitwise_or.reduceat(bit, self.edge[:-1]) if len(self.n) else np.zeros(0, _U)
+    def signatures(self) -> list[np.ndarray]:
+        """128 bits per line: the parity of the number of words that fall on
+        each, so that two signatures differ in no more bits than their lines
+        do in words, however long they are."""
+        bit = textnp.mix(self.token + _U(7))
+        out = []
+        for half in (_U(0), _U(1)):
+            own = np.where(bit & _U(1) == half, _U(1) << ((bit >> _U(1)) & _U(63)), _U(0))
+            out.append(np.bitwise_xor.reduceat(own, self.edge[:-1]) if len(self.n) else np.zeros(0, _U))
+        return out
 
 
 class Rarity:
@@ -178,7 +184,7 @@ def word_table(scan: DataFrame, limit: int = TABLE_WORDS) -> Rarity:
     return Rarity(join("tokens", "<u8").astype(_U), join("counts", "<i8"), least == 1)
 
 
-_ENTRY = ["token", "id", "place", "n", "i", "bits"]
+_ENTRY = ["token", "id", "place", "n", "i", "bits", "more"]
 _ENTRIES = "bucket int, base long, size int, " + ", ".join(f"`{c}` binary" for c in _ENTRY)
 _PAIR = ["xid", "xplace", "yid", "yplace"]
 _PAIRS = ", ".join(f"{c} long" for c in _PAIR)
@@ -209,7 +215,7 @@ def _index(docs: DataFrame, sent, buckets: int) -> DataFrame:
             order = np.lexsort((lines.place, ids, lines.k2, lines.k1))
             k1, k2 = lines.k1[order], lines.k2[order]
             first = np.sort(order[np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])])
-            bits = lines.signatures()
+            bits, more = lines.signatures()
             rank = sent.value.order(lines.token)
             got = []
             for a in range(0, len(first), 1 << 16):
@@ -224,7 +230,7 @@ def _index(docs: DataFrame, sent, buckets: int) -> DataFrame:
                 if sent.value.complete:  # a word of one line only meets nothing
                     good &= token >= _RANKED
                 line = own[number[good]]
-                got.append((token[good], ids[line], lines.place[line], lines.n[line], i[good], bits[line]))
+                got.append((token[good], ids[line], lines.place[line], lines.n[line], i[good], bits[line], more[line]))
             columns = [np.concatenate(c) for c in zip(*got, strict=True)]
             if not len(columns[0]):
                 continue
@@ -247,7 +253,8 @@ def _may_match(x: dict[str, np.ndarray], y: dict[str, np.ndarray]) -> np.ndarray
     need = (4 * (nx + ny) + 8) // 9
     good = 5 * np.minimum(nx, ny) >= 4 * np.maximum(nx, ny)
     good &= np.minimum(nx - x["i"], ny - y["i"]) >= need
-    good &= np.bitwise_count(x["bits"] ^ y["bits"]) <= nx + ny - 2 * need
+    differ = np.bitwise_count(x["bits"] ^ y["bits"]).astype(np.int64) + np.bitwise_count(x["more"] ^ y["more"])
+    good &= differ <= nx + ny - 2 * need
     return good & ((y["id"] < x["id"]) | ((y["id"] == x["id"]) & (y["place"] < x["place"])))
 
 
@@ -261,7 +268,7 @@ def _candidates(entries: DataFrame, buckets: int, only=None) -> DataFrame:
                 n, *packed = packed
                 part = [_unpack(x, n) for x in packed]
                 part[1] = (part[1] + np.array([base], np.int64).view(_U)).view(np.int64)
-                got.append([x if k < 2 or k == 5 else x.astype(np.uint32) for k, x in enumerate(part)])
+                got.append([x if k < 2 or k >= 5 else x.astype(np.uint32) for k, x in enumerate(part)])
         if not got:
             return
         e = {c: np.concatenate([part[k] for part in got]) for k, c in enumerate(_ENTRY)}
