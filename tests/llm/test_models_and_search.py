@@ -246,6 +246,16 @@ def test_mixes_with_hot_tiny_and_null_sources(spark, kw):
     assert all(0 <= r.taken <= 3 * r.size for r in got)
 
 
+def test_small_sources_meet_their_targets_in_many_shards(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(200), "big") for i in range(3000)]
+    rows += [(5000 + 40 * s + i, "w " * rng.randrange(1, 25), f"tail{s:03}") for s in range(60) for i in range(1 + s % 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    runs = [op4.mix(df, blocks=300, shard_words=words).collect() for words in (2000, 50_000)]
+    check_mix(rows, runs[0])
+    assert sorted(runs[0]) == sorted(runs[1])
+
+
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert op4.mix(df).collect() == []
