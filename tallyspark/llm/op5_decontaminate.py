@@ -4,8 +4,9 @@ Test items are read in blocks of bounded size. For each block two passes over
 the documents are made, and no text is shuffled:
 
 1. the number of documents with each n-gram of the items is counted over the
-   whole corpus; an item's seeds are its rarest n-grams (its own median
-   frequency or below, so an item that leaked everywhere has seeds as well);
+   whole corpus; an item's seeds are those of its n-grams that occur, up to
+   ``RARE_DOCUMENTS`` documents or the third quartile of their frequencies,
+   whichever is more (so an item that leaked everywhere has seeds as well);
 2. a seed in a document places the item on it; the words around are aligned
    with the whole item by Smith-Waterman, many pairs at once. Placements of an
    item that overlap are aligned as one.
@@ -32,6 +33,8 @@ from . import common, textnp
 
 SEED_WORDS = 3
 RARE = 0.75
+#: Documents up to which an n-gram is a seed whatever the item's others are.
+RARE_DOCUMENTS = 1000
 THRESHOLD = 0.4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Items whose words are sent to all tasks at once.
@@ -110,13 +113,15 @@ class Items:
         return np.concatenate(text), np.concatenate(at), np.concatenate(number)
 
     def rarest(self, documents: np.ndarray) -> np.ndarray:
-        """Entries up to the ``RARE`` quantile of document frequency in their item."""
+        """Entries that occur, up to ``RARE_DOCUMENTS`` documents or the ``RARE``
+        quantile of the document frequencies of those in their item."""
         seen = documents[self.number]
         out = np.zeros(len(seen), bool)
         edge = np.searchsorted(self.item, np.arange(len(self.ids) + 1))
         for a, b in zip(edge[:-1], edge[1:], strict=True):
-            if b > a:
-                out[a:b] = seen[a:b] <= np.sort(seen[a:b])[int((b - a - 1) * RARE)]
+            found = np.sort(seen[a:b][seen[a:b] > 0])
+            if len(found):
+                out[a:b] = (seen[a:b] > 0) & (seen[a:b] <= max(found[int((len(found) - 1) * RARE)], RARE_DOCUMENTS))
         return out
 
     def matches(self, w: textnp.Words, threshold: float) -> Iterator[tuple[int, int, float, int]]:

@@ -170,6 +170,30 @@ def test_planted_copies_are_found_and_clean_documents_are_not(spark):
     assert op5.contaminated(df, bench.limit(0)).collect() == [] and op5.contaminated(df.limit(0), bench).collect() == []
 
 
+def test_copies_with_a_third_of_the_words_changed_equal_all_windows(spark):
+    rng = random.Random(5)
+    items = [[f"i{k}x{j}" for j in range(rng.randrange(18, 40))] for k in range(60)]
+    say = lambda n: [f"v{rng.randrange(300)}" for _ in range(n)]
+    docs = []
+    for k, item in enumerate(items):
+        share, step = rng.uniform(0.25, 0.35), k % 3
+        leak = [f"n{rng.randrange(10 ** 6)}" if (j % 4 == 3 if step == 0 else rng.random() < share) else x for j, x in enumerate(item)]
+        docs.append(say(20) + leak + say(20))
+        at = rng.randrange(len(item) - 2)
+        docs += [say(10) + item[at:at + 3] + say(10) for _ in range(3 if step == 1 else 0)]  # an n-gram in several documents
+    seeded = lambda k, d: any(items[k][j:j + 3] == d[p:p + 3] for j in range(len(items[k]) - 2) for p in range(len(d) - 2))
+    want = {}
+    for i, d in enumerate(docs):
+        for k in range(len(items)):
+            share = plain_alignment(items[k], d) / (2 * len(items[k])) if set(items[k]) & set(d) else 0
+            if share >= op5.THRESHOLD and seeded(k, d):
+                want[i, k] = share
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in op5.contaminated(df, bench).collect()}
+    assert len(want) > 50 and set(got) == set(want) and got == pytest.approx(want)
+
+
 def test_query_finds_every_whole_item(spark, sf_dir):
     got = {(r.doc_id, r.item_id) for r in catalog.QUERIES["op5_benchmark_leaks"](spark, sf_dir).collect()}
     docs = [(r.doc_id, " " + " ".join(pieces(r.text)) + " ") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
