@@ -16,8 +16,9 @@ with the languages. A document is rejected if it has no letters or ``und``
 wins. Texts are read once, in whole, and never shuffled.
 
 Defined cases: null and empty texts, and texts without letters, are ``und``
-with confidence 1 and rejected; a null or unknown declared language is no
-evidence; null hosts form one host; repeated rows are judged each; without any
+with confidence 1 and rejected; declared languages are taken by their primary
+subtag (en, EN, en-US and en_US are one), and every one that occurs is a class;
+a null, blank, ``und`` or unknown declared language is no evidence; null hosts form one host; repeated rows are judged each; without any
 labelled row every document with letters is ``und``; no rows give no rows.
 """
 from __future__ import annotations
@@ -34,13 +35,16 @@ from . import common, textnp
 BUCKETS = 1 << 15
 #: Labelled rows that the text models are trained on, for each language.
 SAMPLE_ROWS = 2000
-LANGUAGES = 200
+#: Languages whose counts are gathered at once in training.
+LANGUAGE_BLOCK = 50
 DAMP = 0.3
 TRUST = 0.9
 UNDEFINED = "und"
 UNDEFINED_PRIOR = 1e-4
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 100.0
 SLICE = 4 << 20
+#: Documents times classes that are judged at once.
+CELLS = 1 << 22
 
 _LETTERS = textnp._LOWER.copy()
 _LETTERS[[b for b in range(128) if not 97 <= _LETTERS[b] <= 122]] = 32
@@ -63,17 +67,21 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return gram.astype(np.int64), np.searchsorted(offsets, at + 1, "right") - 1
 
 
+def tag(declared: Column) -> Column:
+    """Lower-cased primary subtag of a declared language (private and
+    grandfathered tags, x-... and i-..., whole); null if there is none."""
+    whole = F.lower(F.trim(F.translate(declared.cast("string"), "_\t\n\r", "-   ")))
+    first = F.when(whole.rlike("^[xi]-"), whole).otherwise(F.trim(F.substring_index(whole, "-", 1)))
+    return F.when(~first.isin("", UNDEFINED), first)
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          sample_rows: int = SAMPLE_ROWS) -> dict[str, np.ndarray]:
-    """Log probabilities of trigram buckets for each declared language."""
-    rows = docs.where(F.col(lang_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return {}
+          sample_rows: int = SAMPLE_ROWS, block: int = LANGUAGE_BLOCK) -> dict[str, np.ndarray]:
+    """Log probabilities of trigram buckets for every declared language, by its
+    primary subtag."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), tag(F.col(lang_col)).alias("lang")).where("lang IS NOT NULL")
+    found = rows.groupBy("lang").count().orderBy("lang").collect()
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, 1e6 * min(1, sample_rows / r["count"]))])
-    chosen = rows.where(draw < F.element_at(rate, F.col("lang"))).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -88,11 +96,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())],
                                              ["lang", "gram", "n"])
 
-    summed = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    out = {r.lang: np.full(BUCKETS, 0.5) for r in counts}
-    for r in summed.collect():  # at most LANGUAGES x BUCKETS rows
-        out[r.lang][r.gram] += r.n
-    return {lang: np.log(n / n.sum()) for lang, n in sorted(out.items())}
+    out = {}
+    for start in range(0, len(found), block):
+        own = found[start:start + block]
+        rate = F.create_map(*[F.lit(x) for r in own for x in (r.lang, 1e6 * min(1, sample_rows / r["count"]))])
+        chosen = rows.where(draw < F.element_at(rate, F.col("lang"))).select("text", "lang")
+        summed = chosen.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        total = {r.lang: np.full(BUCKETS, 0.5) for r in own}
+        for r in summed.toLocalIterator():  # at most block x BUCKETS rows
+            total[r.lang][r.gram] += r.n
+        out |= {lang: np.log(n / n.sum()) for lang, n in total.items()}
+    return dict(sorted(out.items()))
 
 
 def suffix_of(host: Column) -> Column:
@@ -103,12 +117,13 @@ def suffix_of(host: Column) -> Column:
 def declared_evidence(declared: list, names: list[str], trust: float) -> np.ndarray:
     """Log probability of each declared language under each class."""
     known = len(names) - 1
-    table = {None: np.zeros(len(names))}
-    for j, name in enumerate(names[:-1]):
-        row = np.full(len(names), np.log((1 - trust) / max(1, known - 1)))
-        row[j], row[-1] = np.log(trust), -np.log(known)
-        table[name] = row
-    return np.stack([table.get(d, table[None]) for d in declared])
+    at = {name: j for j, name in enumerate(names[:-1])}
+    out = np.zeros((len(declared), len(names)))
+    for row, d in zip(out, declared, strict=True):
+        if d in at:
+            row[:] = np.log((1 - trust) / max(1, known - 1))
+            row[at[d]], row[-1] = np.log(trust), -np.log(known)
+    return out
 
 
 def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text",
@@ -117,11 +132,12 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_i
     """One row per document: id, text_key (hash of the text), declared,
     language, confidence, rejected."""
     names = [*model, UNDEFINED]
-    table = np.stack([*model.values(), np.full(BUCKETS, -np.log(BUCKETS))]).T
+    sent = docs.sparkSession.sparkContext.broadcast(np.stack([*model.values(), np.full(BUCKETS, -np.log(BUCKETS))]))
     none = F.lit(None).cast("string")
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"),
         (F.col(declared_col).cast("string") if declared_col else none).alias("declared"),
+        (tag(F.col(declared_col)) if declared_col else none).alias("tag"),
         (F.col(host_col).cast("string") if host_col else none).alias("host"))
     width = len(names)
     prior = np.zeros(width)
@@ -132,17 +148,19 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_i
         return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * width, pa.int32()), pa.array(values.ravel()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in common.slices(batches, "text", SLICE):
+        table = sent.value
+        step = max(1, CELLS // width)
+        for piece in (part.slice(i, step) for part in common.slices(batches, "text", SLICE) for i in range(0, part.num_rows, step)):
             gram, text = trigrams(piece.column("text"))
             m = piece.num_rows
             edge = np.searchsorted(text, np.arange(m + 1))
-            evidence = declared_evidence(piece.column("declared").to_pylist(), names, trust) + prior
+            evidence = declared_evidence(piece.column("tag").to_pylist(), names, trust) + prior
             for j in range(width):
-                upto = np.concatenate([[0.0], np.cumsum(table[gram, j])])
+                upto = np.concatenate([[0.0], np.cumsum(table[j, gram])])
                 evidence[:, j] += damp * (upto[edge[1:]] - upto[edge[:-1]])
             weight = np.exp(evidence - evidence.max(1, keepdims=True))
             weight *= (np.diff(edge) > 0)[:, None] / weight.sum(1, keepdims=True)
-            kept = [c for c in piece.schema.names if c != "text"]
+            kept = [c for c in piece.schema.names if c not in ("text", "tag")]
             yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in kept], pa.array(np.diff(edge), pa.int64()), lists(evidence), lists(weight)],
                                              [*kept, "n", "evidence", "share"])
 
@@ -158,11 +176,12 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_i
     total = sum(everything)
     whole = [(x + 1) / (total + width) for x in everything]
     known = hosts.join(suffixes, hosts.suffix.eqNullSafe(suffixes.suffix))
-    in_suffix = sum((F.col(f"s{i}") for i in k), F.lit(0.0))
+    total_of = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+    known = known.withColumn("in_suffix", total_of(F.array(*[f"s{i}" for i in k])))
+    in_suffix = F.col("in_suffix")
     known = known.select(hosts.host.alias("of"), F.array(*[f"h{i}" for i in k]).alias("host_share"),
                          F.array(*[(F.col(f"s{i}") + suffix_weight * whole[i]) / (in_suffix + suffix_weight) for i in k]).alias("smooth"))
     known = common.hinted(common.store(known, "language-priors"), 100_000)
-    total_of = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
     fused = seen.join(known, seen.host.eqNullSafe(known.of)).withColumn(
         "others", F.zip_with("host_share", "share", lambda h, p: F.greatest(h - p, F.lit(0.0))))
     fused = fused.withColumn("rest", total_of(F.col("others")))

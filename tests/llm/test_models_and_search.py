@@ -74,6 +74,22 @@ def test_texts_without_letters_are_rejected_and_the_rest_stays(spark):
     assert op8.identify(none, op8.train(none)).collect() == [] and op8.identify(df, {}).where("rejected").count() == len(rows)
 
 
+def test_every_declared_language_is_a_class_whatever_its_spelling(spark):
+    rng = random.Random(9)
+    names = [f"{a}{b}" for a in "abcdefghijklmnopqrstuvw" for b in "abcdefghij"]
+    vocab = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for n in names}
+    say = lambda n: " ".join(rng.choice(vocab[n]) for _ in range(40))
+    spell = [str.lower, str.upper, lambda n: n + "-US", lambda n: f" {n}_Latn_XX"]
+    rows = [(4 * i + j, say(n), f(n), None) for i, n in enumerate(names) for j, f in enumerate(spell) if j < 3 or i % 2]
+    rows += [(10_000 + i, say(n), [None, "und", "", "??"][i % 4], None) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    model = op8.train(df)
+    assert len(names) == 230 and set(model) == {*names, "??"}
+    got = {r.doc_id: r for r in op8.identify(df, model).collect()}
+    assert all(got[4 * i + j].language == n for i, n in enumerate(names) for j in range(3))
+    assert all(got[10_000 + i].language == n for i, n in enumerate(names) if i % 4 < 3) and got[2].declared == "aa-US"
+
+
 # --- urls
 
 URLS = ["http://A.Example.NET/en/x?y#z", "http://net/", "http://xnet/", "https://www.example.com/de/1", "http://EXAMPLE.com/deu", "ftp://a.org/fr/", "http://a.org/fr", None,
