@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op1_warc, op2_suffix_dedup, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op7_line_dedup, op8_language,
-               op9_topk, op10_hyperminhash)
+               op9_topk, op10_hyperminhash, op13_quality)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -200,3 +200,42 @@ SELECT n.doc_id, CAST(n.n_shingles AS BIGINT) AS n_shingles, least(n.doc_id, coa
        n.doc_id = least(n.doc_id, coalesce(m, n.doc_id)) AS kept
 FROM n LEFT JOIN least_id ON n.doc_id = least_id.a
 """
+
+
+@query
+def op13_quality_of_documents(spark, sf_dir):
+    return op13_quality.judge(table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
+ORACLE_SQL["op13_quality_of_documents"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), g AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM d, unnest(range(1, len(w) - 1)) AS u(i)
+), r AS (
+  SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words
+  FROM (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1), unnest([0, 1, 2]) AS u(o)
+  GROUP BY doc_id
+), c AS (
+  SELECT d.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN r USING (doc_id)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed
+       AND NOT n_symbols > 0.1 * n_words
+       AND word_chars / n_words BETWEEN 3 AND 15
+       AND NOT n_dup_lines > 0.5 * len(l)
+       AND NOT length(regexp_replace(t, '[^!]+', '', 'g')) > 0.3 * n_words
+       AND NOT length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 0.4 * word_chars
+       AND NOT length(regexp_replace(t, '[^0-9]+', '', 'g')) > 0.3 * word_chars
+       AND NOT len(list_filter(w, lambda x: NOT regexp_matches(x, '\p{L}'))) > 0.3 * n_words
+       AND NOT len(list_filter(l, lambda x: suffix(rtrim(x), '...') OR suffix(rtrim(x), '…'))) > 0.3 * len(l)
+       AND NOT len(list_filter(l, lambda x: substring(ltrim(x), 1, 1) IN ('-', '•', '·', '*'))) > 0.9 * len(l) AS kept
+FROM b
+"""
