@@ -183,7 +183,7 @@ def order_by_sample(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: st
     rows reach the cascade."""
     total = docs.count()
     chosen = docs.select(text_col).where(F.col(f"`{text_col}`").isNotNull()).sample(min(1.0, sample_rows / max(total, 1)), seed)
-    sample = common.store(with_counts(chosen, text_col=text_col).drop("kept_columns").where(F.lit(True) if passed is None else passed).coalesce(1), "quality-sample")
+    sample = common.store(with_counts(chosen, text_col=text_col).drop("kept_columns").where(F.lit(True) if passed is None else passed), "quality-sample").coalesce(1)
     copies = sample.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(COPIES))))
 
     def seconds(column: Column) -> float:
