@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (op1_warc, op2_suffix_dedup, op3_token_records, op4_mixing, op5_decontaminate, op6_url_filter, op7_line_dedup, op8_language,
-               op9_topk, op10_hyperminhash, op13_quality)
+               op9_topk, op10_hyperminhash, op11_dual_tree, op12_whitening,
+               op13_quality)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -202,6 +203,44 @@ FROM n LEFT JOIN least_id ON n.doc_id = least_id.a
 """
 
 
+@query
+def op11_ranked_documents(spark, sf_dir):
+    return op11_dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op11_ranked_documents"] = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS w FROM documents
+), c AS (
+  SELECT doc_id, w, count(*) AS tf FROM t GROUP BY ALL
+), n AS (
+  SELECT doc_id, sum(tf) AS n FROM c GROUP BY doc_id
+), s AS (
+  SELECT count(*) AS docs, sum(n) AS terms FROM n
+), m AS (
+  SELECT doc_id, CAST(75 + (25 * n * docs) // terms AS BIGINT) AS m FROM n, s
+), q AS (
+  SELECT item_id, w, count(*) AS q
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS w FROM benchmark) GROUP BY ALL
+), f AS (
+  SELECT w, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight
+  FROM c SEMI JOIN q USING (w), s GROUP BY w, docs
+), r AS (
+  SELECT item_id, doc_id, CAST(sum(q * weight * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN f USING (w) JOIN c USING (w) JOIN m USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
+@query
+def op12_whitened_embeddings(spark, sf_dir):
+    return op12_whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_quality_of_documents(spark, sf_dir):
     return op13_quality.judge(table(spark, sf_dir, "documents")).drop("failed_rule")

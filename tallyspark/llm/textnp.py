@@ -75,12 +75,12 @@ def words(column, separators: np.ndarray = _SPACE) -> Words:
     return Words(data, offsets, start, length, _hash_words(data, start, length), np.searchsorted(start, offsets))
 
 
-def split(column, lower: bool) -> tuple[pa.Array, np.ndarray]:
+def split(column, lower: bool, separators: np.ndarray = _SPACE) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts as one array of strings, and where each text's
     begin in it."""
     data, offsets = flat(column)
     data = _LOWER[data] if lower else data
-    inside, start, length = _bounds(data, offsets, _SPACE)
+    inside, start, length = _bounds(data, offsets, separators)
     at = np.concatenate([[0], np.cumsum(length)])
     out = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(at), pa.py_buffer(data[inside])])
     return out, np.searchsorted(start, offsets)
