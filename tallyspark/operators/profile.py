@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -105,6 +107,55 @@ def pairwise_correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*aggs).selectExpr(f"stack({len(names)}, {stack}) as (col_a, col_b, corr)")
 
 
+MOMENTS = ("n", "sa", "sb", "qa", "qb", "p")
+
+
+def pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Moments of every pair of columns over the rows where both are known:
+    col_a, col_b (col_a <= col_b by position), n, sums (sa, sb), sums of
+    squares (qa, qb) and of products (p) of the values less ``mean_a`` and
+    ``mean_b``, the columns' own means.
+
+    One pass for any number of columns: with the known-mask M and the centred
+    values X (unknown: 0) of a batch, all pairs' counts are M'M, sums X'M,
+    squares (X^2)'M and products X'X. Tasks add up these d x d matrices and
+    Spark sums one row per pair and task."""
+    cols = list(cols)
+    means = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    centre = np.array([m if m is not None else 0.0 for m in means])
+    i, j = np.triu_indices(len(cols))
+
+    def add(batches):
+        total = np.zeros((len(MOMENTS), len(i)))
+        for b in batches:
+            x = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in range(len(cols))], 1)
+            known = ~np.isnan(x)
+            x, m = np.where(known, x - centre, 0.0), known.astype(float)
+            s, q = x.T @ m, (x * x).T @ m
+            for k, v in enumerate(((m.T @ m)[i, j], s[i, j], s[j, i], q[i, j], q[j, i], (x.T @ x)[i, j])):
+                total[k] += v
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(v) for v in total]], ["i", "j", *MOMENTS])
+
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"x{k}") for k, c in enumerate(cols)])
+    parts = values.mapInArrow(add, "i int, j int, " + ", ".join(f"{m} double" for m in MOMENTS))
+    summed = parts.groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in MOMENTS])
+    names, mean = F.lit(cols), F.lit(centre.tolist())
+    return summed.select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"), F.col("n").cast("bigint").alias("n"), *MOMENTS[1:],
+                         mean[F.col("i")].alias("mean_a"), mean[F.col("j")].alias("mean_b"))
+
+
+def correlation_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A18 for any number of columns: col_a, col_b, n (rows where both are
+    known) and Pearson's correlation over them; null where either column is
+    constant there."""
+    m = pair_moments(df, cols)
+    n = F.col("n")
+    va, vb = n * F.col("qa") - F.col("sa") ** 2, n * F.col("qb") - F.col("sb") ** 2
+    varies = (va > 1e-10 * n * F.col("qa")) & (vb > 1e-10 * n * F.col("qb"))
+    r = (n * F.col("p") - F.col("sa") * F.col("sb")) / F.sqrt(va * vb)
+    return m.select("col_a", "col_b", "n", F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("corr"))
+
+
 def quartiles_by(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Exact quartiles (linear interpolation) per class, from value
     histograms and distributed running counts (``quantiles``)."""

@@ -40,13 +40,21 @@ def _task_rows(scored: DataFrame, thresholds: DataFrame | None) -> DataFrame:
 def evaluate_family(panel: DataFrame, mode: str, params: ML.TreeParams, sp: SplitSpec = DEFAULT_SPLIT,
                     entity: str = "driver_id") -> tuple[ML.Family, DataFrame, DataFrame]:
     """Returns (family, thresholds per task, long metrics)."""
+    return _evaluate(panel, (mode,), params, sp, entity)[mode]
+
+
+def _evaluate(panel: DataFrame, modes: tuple[str, ...], params: ML.TreeParams, sp: SplitSpec, entity: str) -> dict[str, tuple]:
+    """All families from one training run; early stopping, where asked for,
+    looks at the validation season."""
     lab = split_label(panel, sp).withColumn("weight", season_weight(sp))
-    feats = [c for c in numeric_feature_columns(lab, mode) if c != "season"]
-    fam = ML.train_family(lab.filter(F.col("split") == "train"), feats, params)
-    # every metric reads the scored rows, so they are written once
-    scored = materialize(ML.score_family(fam, lab.filter(F.col("split").isin("validation", "test"))), "scored")
-    thr, long = family_metrics(fam, scored, mode, entity)
-    return fam, thr, long
+    feats = {m: [c for c in numeric_feature_columns(lab, m) if c != "season"] for m in modes}
+    valid = lab.filter(F.col("split") == "validation") if params.early_stopping else None
+    held, out = lab.filter(F.col("split").isin("validation", "test")), {}
+    for mode, fam in ML.train_families(lab.filter(F.col("split") == "train"), feats, params, valid=valid).items():
+        # every metric reads the scored rows, so they are written once
+        scored = materialize(ML.score_family(fam, held), "scored")
+        out[mode] = (fam, *family_metrics(fam, scored, mode, entity))
+    return out
 
 
 def tuned_thresholds(scored: DataFrame) -> DataFrame:
@@ -78,8 +86,7 @@ def evaluate_families(panel: DataFrame, params: ML.TreeParams, sp: SplitSpec = D
                       artifact_dir: str | None = None) -> DataFrame:
     """Every family, one long metrics table; optional artifacts."""
     out = None
-    for mode in modes:
-        fam, thr, long = evaluate_family(panel, mode, params, sp)
+    for mode, (fam, thr, long) in _evaluate(panel, modes, params, sp, "driver_id").items():
         if artifact_dir:
             from .artifacts import save_family
             save_family(panel.sparkSession, fam, {r["task"]: r["threshold"] for r in thr.collect()}, artifact_dir,

@@ -83,6 +83,33 @@ def hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in the place of ``path`` in one step: readers see
+    the old or the new text, whatever happens in between. The text is written
+    next to it first and renamed over it, which the file system does at once
+    (local and HDFS); stores without renames replace the object on close."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, target = hadoop_path(spark, path)
+    target = fs.makeQualified(target)
+    fs.mkdirs(target.getParent())
+    part = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{uuid.uuid4().hex[:12]}")
+    stream = fs.create(part, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    option = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(option, 1)
+    options[0] = option.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(part, target, options)
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete the stage tables that this application wrote; call it when no
     result that reads them is needed any more. Returns their number."""
