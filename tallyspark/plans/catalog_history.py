@@ -356,10 +356,3 @@ from p left join (select season, round, constructor_id,
           "F28")
 def q_missing(spark, sf_dir):
     return present(feature_panel(spark, sf_dir), MISSING_COLS)
-
-
-@register("panel_all_features", None, "E1,O1")
-def q_all(spark, sf_dir):
-    """The whole modelling panel (rows-only check; each feature block above
-    has its own oracle)."""
-    return present(feature_panel(spark, sf_dir))

@@ -55,5 +55,5 @@ def present(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> Da
 def load_all() -> dict[str, Entry]:
     # import for side effects: each module registers its queries
     from . import (catalog_history, catalog_ingest, catalog_quality,  # noqa: F401
-                   catalog_metrics, catalog_future, catalog_ml)
+                   catalog_metrics, catalog_future, catalog_ml, catalog_panel)
     return REGISTRY
