@@ -17,7 +17,8 @@ Queries go to all shards in blocks of bounded size (a broadcast of
 
 Defined cases: vectors that are null, or hold a null or a non-finite
 component, take no part; a missing component of a shorter vector counts as 0;
-components are held within +-2**24 after scaling; a row whose id equals the
+a component beyond +-2**27 after scaling raises an error, as products of such
+could leave the range of a long; a row whose id equals the
 query's id is the query's own and no candidate; null ids are candidates but no
 queries, and come first among equal scores; repeated candidate rows are listed
 each. Empty tables give an empty result.
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from . import common
 
 SCALE = 256
-LIMIT = 1 << 24
+LIMIT = 1 << 27
 QUERY_BLOCK = 2048
 SHARD_ROWS = 16384
 LEVELS = 4
@@ -49,8 +50,9 @@ def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     """``id`` and ``v`` (array of long) of the rows that take part."""
     x = F.col(vector_col).cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    held = F.transform(x, lambda c: F.least(F.greatest(F.floor(c * scale), F.lit(-LIMIT)), F.lit(LIMIT)).cast("long"))
-    return df.where(F.col(vector_col).isNotNull()).where(finite).select(F.col(id_col).cast("long").alias("id"), held.alias("v"))
+    beyond = F.raise_error(F.lit(f"a component is beyond +-{LIMIT} after scaling by {scale}")).cast("long")
+    held = F.transform(x, lambda c: F.when(F.abs(c * scale) <= LIMIT, F.floor(c * scale)).otherwise(beyond))
+    return df.select(F.col(id_col).cast("long").alias("id"), F.when(finite, held).alias("v")).where("v IS NOT NULL")
 
 
 def matrix(column: pa.Array, dims: int) -> np.ndarray:

@@ -341,3 +341,12 @@ def test_a_search_stops_before_all_segments_are_read():
     index = op9.ImpactIndex(v, 64)
     rows, score = index.search(v[5], 5, np.zeros(4000, bool))
     assert len(rows) <= 2000 and sorted(score)[-5:] == sorted((v @ v[5]).tolist())[-5:]
+
+
+def test_large_components_are_exact_and_too_large_ones_raise(spark):
+    df = spark.createDataFrame([(0, [65536.5, 0.0]), (1, [70000.0, 1.0]), (2, [90000.0, -1.0]), (3, [66000.0, 0.0])], "vec_id long, embedding array<double>")
+    v = op9.integer_vectors(df)
+    got = op9.top_k(v, v.where("id = 0"), k=3).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 256 * 256 * x * 65536 + 128 * 256 * x) for i, x in ((2, 90000), (1, 70000), (3, 66000))]
+    with pytest.raises(Exception, match="after scaling"):
+        op9.integer_vectors(spark.createDataFrame([(1, [1e7])], "vec_id long, embedding array<double>")).collect()
