@@ -324,6 +324,23 @@ def q_t1(spark, sf_dir):
     return table.select(*[F.col(f"`{c}`").alias(c) for c in SN.RESULT_COLUMNS])
 
 
+@register("t1_compacted_ingest", FLAT_RESULTS_SQL, "T1,S9")
+def q_t1_compacted(spark, sf_dir):
+    """Three deliveries, a compaction after each of the first two: the read
+    joins the snapshot and the one epoch behind it."""
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.ingest import compact, incremental_results_ingest
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:10]}"
+    pages = _results_pages(spark, sf_dir)
+    for i, part in enumerate((pages.filter(F.col("season") < LIVE - 2), pages.filter(F.col("season") < LIVE), pages.filter(F.col("season") >= LIVE - 1))):
+        SN.write_pages(part, f"{root}/incoming/batch{i}")
+        table = incremental_results_ingest(spark, f"{root}/incoming", f"{root}/table", f"{root}/ckpt")
+        if i < 2:
+            compact(spark, f"{root}/table")
+    return table.select(*[F.col(f"`{c}`").alias(c) for c in SN.RESULT_COLUMNS])
+
+
 # ------------------------------------------------------------ P3, P15
 @register("p3_min_season_filter", with_prep() + "select driver_id, season, round from p where season >= 1996", "P3")
 def q_p3(spark, sf_dir):

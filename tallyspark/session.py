@@ -107,7 +107,11 @@ def read_file(spark: SparkSession, path: str) -> str | None:
     fs, p = hadoop_path(spark, path)
     if not fs.exists(p):
         return None
-    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+    stream = fs.open(p)  # not spark.read, which skips names that begin with an underscore
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def drop_stages(spark: SparkSession) -> int:
