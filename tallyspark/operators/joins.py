@@ -14,16 +14,20 @@ from pyspark.sql import functions as F
 
 from ..functions.names import normalize_name
 from .ordered import position_within, with_scalar
-from .quality import DataQualityError, duplicate_keys
+from .quality import DataQualityError, duplicate_keys, unique_rows
 
 
 def checked_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-                 validate: str = "many_to_one") -> DataFrame:
+                 validate: str = "many_to_one", in_plan: bool = False) -> DataFrame:
     """Equi-join with cardinality validation.
 
     ``many_to_one`` checks that the right key is unique: a grouped count of
     the dimension (partial aggregation) and a non-empty probe; the fact side
-    is never scanned for the check."""
+    is never scanned for the check. ``in_plan`` puts the check into the join's
+    own job, which then raises, instead of running it first."""
+    if in_plan:
+        left = unique_rows(left, on) if validate == "one_to_one" else left
+        return left.join(unique_rows(right, on), list(on), how)
     if validate in ("many_to_one", "one_to_one") and not duplicate_keys(right, on).isEmpty():
         raise DataQualityError(f"right side of join is not unique on {list(on)}")
     if validate == "one_to_one" and not duplicate_keys(left, on).isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,39 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DataQualityError(f"duplicate keys on {list(keys)}")
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with an assertion inside the plan that ``keys`` is unique: the
+    job that reads the rows raises if it isn't, no job of its own is needed.
+    One grouped aggregate; the test is a filter, so it stays in the plan
+    whatever columns are read later."""
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0)).alias("_row"))
+    single = F.assert_true(F.col("_n") == 1, F.concat(F.lit(f"duplicate keys on {list(keys)}: "), F.to_json(F.struct(*[F.col(f"`{k}`") for k in keys])))).isNull()
+    return one.where(single).select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns])
+
+
+class Checks:
+    """Data-quality counts that are taken while the data passes (A2, A23-A25):
+    ``watch`` adds them to a plan, the next action that runs it fills them in,
+    and ``verify`` raises if one that must be 0 is not. The data is scanned
+    once, for its own job."""
+
+    def __init__(self, name: str, **must_be_zero: Column):
+        self.name, self.conditions, self.observation = name, must_be_zero, Observation(name)
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        counts = [F.coalesce(F.count_if(c), F.lit(0)).alias(n) for n, c in self.conditions.items()]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("n_rows"), *counts)
+
+    def verify(self) -> dict[str, int]:
+        """The counts of the action that has run."""
+        got = dict(self.observation.get)
+        bad = {n: v for n, v in got.items() if n != "n_rows" and v}
+        if bad:
+            raise DataQualityError(f"{self.name}: {bad} of {got['n_rows']} rows")
+        return got
+
+
 def leakage_report(featured: DataFrame, entity: str, seq: str,
                    first_null_cols: Sequence[str] = ("driver_avg_finish_last_5",),
                    races_before: str = "driver_races_before") -> DataFrame:
