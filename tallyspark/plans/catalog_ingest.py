@@ -354,6 +354,35 @@ def q_t1_compacted(spark, sf_dir):
     return table.select(*[F.col(f"`{c}`").alias(c) for c in SN.RESULT_COLUMNS])
 
 
+# ------------------------------------------------------------ S2, P4 rejects
+@register("s2_rejects_by_reason", """
+with o as (
+  select o_orderkey as k, o_orderkey % 101 = 0 as no_key, o_orderkey % 101 <> 0 and o_orderkey % 103 = 0 as bad_key,
+         o_orderkey % 97 = 0 as bad_price, o_orderkey % 89 = 0 as bad_date from orders
+)
+select 'row' as level, null as column_name, 'missing key o_orderkey' as reason, count(*) as n from o where no_key having count(*) > 0
+union all select 'row', null, 'key o_orderkey is no bigint', count(*) from o where bad_key having count(*) > 0
+union all select 'value', 'o_totalprice', 'wrong type', count(*) from o where bad_price and not no_key and not bad_key having count(*) > 0
+union all select 'value', 'o_orderdate', 'wrong type', count(*) from o where bad_date and not no_key and not bad_key having count(*) > 0
+union all select 'kept', null, null, count(*) from o where not no_key and not bad_key""", "S2,P4")
+def q_rejects(spark, sf_dir):
+    """Orders as text with planted defects: rejected records, nulled values
+    and kept rows."""
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
+    from ..sources import quarantine as QU
+    k = F.col("o_orderkey")
+    text = read_table(spark, sf_dir, "orders").select(
+        F.when(k % 101 == 0, F.lit(None)).when(k % 103 == 0, F.concat(F.lit("k"), k)).otherwise(k.cast("string")).alias("o_orderkey"),
+        F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(k % 89 == 0, F.lit("30 February")).otherwise(F.col("o_orderdate").cast("string")).alias("o_orderdate"), "o_orderstatus")
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_totalprice", DoubleType()), StructField("o_orderdate", TimestampType()),
+                         StructField("o_orderstatus", StringType())])
+    judged = QU.judge(text, schema, ["o_orderkey"])
+    out = QU.rejects(judged).groupBy("level", "column_name", "reason").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(None).cast("string")
+    return out.unionByName(QU.totals(judged).select(F.lit("kept").alias("level"), none.alias("column_name"), none.alias("reason"), F.col("n_kept").alias("n")))
+
+
 # ------------------------------------------------------------ P3, P15
 @register("p3_min_season_filter", with_prep() + "select driver_id, season, round from p where season >= 1996", "P3")
 def q_p3(spark, sf_dir):
