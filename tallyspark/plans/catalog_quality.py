@@ -84,6 +84,19 @@ def q_a6(spark, sf_dir):
     return present(prof.drop("data_type"))
 
 
+@register("a6_profile_from_sketches", with_prep(f"prof as ({_profile_sql(PROFILE_COLS)})") + """
+select column_name, null_count, null_rate, true as distinct_within_3_percent from prof""", "A6,A7,A3")
+def q_a6_sketched(spark, sf_dir):
+    """The profile merged from one sketch a season, its distinct counts held
+    against the exact ones (within 3 %, over three standard errors)."""
+    from ..operators import sketches as SK
+    p = prepared_panel(spark, sf_dir)
+    merged = SK.merged_profile(SK.profile_sketches(p, "season", PROFILE_COLS))
+    exact = PR.column_profile(p, PROFILE_COLS).select("column_name", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.03 * F.col("exact")
+    return present(merged.join(exact, "column_name").select("column_name", "null_count", "null_rate", near.alias("distinct_within_3_percent")))
+
+
 @register("a7_null_rate_top", with_prep(f"prof as ({_profile_sql(PROFILE_COLS)})")
           + "select column_name, null_rate from prof order by null_rate desc, column_name limit 25", "A7,O5")
 def q_a7(spark, sf_dir):
