@@ -42,7 +42,7 @@ TRUST = 0.9
 UNDEFINED = "und"
 UNDEFINED_PRIOR = 1e-4
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 100.0
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Documents times classes that are judged at once.
 CELLS = 1 << 22
 
