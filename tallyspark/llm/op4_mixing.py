@@ -1,20 +1,21 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment.
 
-The words of the mix are seats: they go to the sources by the highest
-quotients target / (2 k + 1), so every source has an integer quota. Its
-documents stand in a seeded order, and its words, counted through in that
-order, are cut into blocks of equal size, of which only the very last may be
-partial. The quota is met by whole passes over the source and, for the rest,
-by evenly spaced blocks from a seeded start. A document's taken words are the
-parts of the chosen blocks that lie in it. A block is small against the whole
-mix and against its source's target, so a source misses its target by less
-than 0.2 % or two words.
-
-Only sizes are handled here (id, source, words), never texts. A source is cut
-into shards by ranges of the order, as many as its own words ask for: running
-totals are taken inside shards first, then offsets over the shards' sums, so
-the result does not depend on the shards. The tables of sources and of one
-source's shards are the only ones that meet in one task.
+Every source is cut into the same number of shards by its documents' seeded
+order, and each shard's words, counted through in that order, into blocks of
+one size, of which only the very last of a shard may be partial. The blocks of
+the mix are seats: they go to the sources by the highest quotients target /
+(2 k + 1), and a source's seats to its shards by words / (2 k + 1), so every
+shard has an integer quota. It is met by whole passes over the shard and, for
+the rest, by evenly spaced blocks from a seeded start. A document's taken words
+are the parts of the chosen blocks that lie in it. A block is small against the
+whole mix and against the least target over all its shards, so a source misses
+its target by about 0.1 % or a few words.
+
+Only sizes are handled here (id, source, words), never texts. Running totals
+are taken inside parts of a shard first, then offsets over the parts' sums, so
+the result does not depend on the parts. Documents without words take no part
+in them. The tables of sources and of one source's shards are the only ones
+that meet in one task.
 
 Defined cases: a null or empty text has size 0 and is never taken; the null
 source is a source of its own and comes last; documents with equal ids are
@@ -36,8 +37,9 @@ CYCLE = (1, 2, 3)
 #: Blocks that the mix is cut into at least, while a block has one word or more.
 BLOCKS = 1_000_000
 BLOCK_WORDS = 1024
-#: Blocks that a source's target is cut into at least, while a block has one word or more.
+#: Blocks that the least target's part in a shard is cut into at least, while a block has one word or more.
 SOURCE_BLOCKS = 1000
+#: Words of all sources in a shard, and of one source's shard in a part.
 SHARD_WORDS = 1 << 21
 MOST = 3
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
@@ -103,46 +105,58 @@ def _order(seed: str, ids: Column) -> Column:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         seed: str = "mix", shard_words: int = SHARD_WORDS, blocks: int = BLOCKS,
-        block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: id, source, size, source_size, target, taken."""
+        block_words: int = BLOCK_WORDS, seat_words: int = SHARD_WORDS) -> DataFrame:
+    """One row per document: id, source, size, source_size, target, taken.
+    ``seat_words`` sets the number of shards, ``shard_words`` that of the parts
+    that their running totals are taken in."""
     rows = common.store(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                                     word_count(F.col(text_col)).alias("size")), "mix-sizes")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    block = max(1, min(block_words, total // blocks))
-
-    def quotas(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("source_rank")
-        words, target = part.source_size.to_numpy(np.int64), part.target.to_numpy()
-        quota = sainte_lague(target, round(target.sum()), MOST * words)
-        unit = np.clip(target.astype(np.int64) // SOURCE_BLOCKS, 1, block)
-        n, some = np.maximum(-(-words // unit), 1), np.maximum(words, 1)
-        return pd.DataFrame({"source_rank": part.source_rank, "unit": unit, "n": n, "full": quota // some,
-                             "rem": np.floor(quota % some / unit + 0.5).astype(np.int64), "shards": np.maximum(-(-words // shard_words), 1)})
-
     sources = common.store(source_targets(rows), "mix-sources")
-    quota = sources.groupBy().applyInPandas(quotas, "source_rank int, unit long, n long, full long, rem long, shards long")
-    sources = common.store(sources.join(quota, "source_rank"), "mix-quotas")
-    order = _order(seed, F.col("id"))
-    placed = rows.join(sources, rows.source.eqNullSafe(sources.source)).select(rows["*"], *[c for c in sources.columns if c != "source"], order.alias("o"))
-    # ranges of the order, so that the shards of a source follow each other in it
-    draw = F.conv(F.substring("o", 1, 8), 16, 10).cast("long")
-    placed = placed.withColumn("shard", F.shiftright(draw * F.col("shards"), 32))
-    inside = Window.partitionBy("source_rank", "shard").orderBy("o", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = common.store(placed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))), "mix-placed")
+    total, least = sources.agg(F.sum("source_size"), F.min(F.when(F.col("target") > 0, F.col("target")))).first()
+    total, least = total or 0, least or 0.0
+    shards = max(1, -(-total // seat_words))
+    block = max(1, min(block_words, total // blocks, int(least) // (SOURCE_BLOCKS * shards)))
 
-    before = Window.partitionBy("source_rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    cells = placed.groupBy("source_rank", "shard").agg(F.sum("size").alias("words"))
-    cells = common.store(cells.select("source_rank", "shard", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("offset")), "mix-offsets")
-    cell = placed.join(cells, ["source_rank", "shard"])
-
-    n, rem, unit, at = F.col("n"), F.col("rem"), F.col("unit"), F.col("inside") + F.col("offset")
-    cell = cell.withColumn("turn", F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "source_rank", F.lit("0"))), 1, 8), 16, 10).cast("long") % n)
+    named = rows.join(sources, rows.source.eqNullSafe(sources.source)).select(rows["*"], *[c for c in sources.columns if c != "source"])
+    words = named.where("size > 0").withColumn("o", _order(seed, F.col("id")))
+    draw = F.conv(F.substring("o", 1, 8), 16, 10).cast("long")
+    # ranges of the order, so that the parts of a shard follow each other in it
+    parts = F.ceil(F.col("source_size") / F.lit(shards * shard_words)).cast("long")
+    words = words.withColumns({"shard": draw % shards, "part": F.shiftright(draw * parts, 32)})
+    inside = Window.partitionBy("source_rank", "shard", "part").orderBy("o", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = common.store(words.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))), "mix-placed")
+
+    before = Window.partitionBy("source_rank", "shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("source_rank", "shard", "part").agg(F.sum("size").alias("words"))
+    offsets = common.store(offsets.withColumn("offset", F.coalesce(F.sum("words").over(before), F.lit(0))), "mix-offsets")
+    cells = offsets.groupBy("source_rank", "shard").agg(F.sum("words").alias("words"))
+    cells = cells.withColumn("n", F.ceil(F.col("words") / F.lit(block)).cast("long"))
+
+    def source_seats(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("source_rank")
+        target = part.target.to_numpy(float)
+        return pd.DataFrame({"source_rank": part.source_rank, "seats": sainte_lague(target, int(target.sum() / block + 0.5), MOST * part.n.to_numpy(np.int64))})
+
+    def shard_quotas(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("shard")
+        n = part.n.to_numpy(np.int64)
+        quota = sainte_lague(part.words.to_numpy(float), int(part.seats.iloc[0]), MOST * n)
+        return pd.DataFrame({"source_rank": part.source_rank, "shard": part["shard"], "n": n, "full": quota // n, "rem": quota % n})
+
+    count = cells.groupBy("source_rank").agg(F.sum("n").alias("n"))
+    seats = sources.join(count, "source_rank").select("source_rank", "target", "n").groupBy().applyInPandas(source_seats, "source_rank int, seats long")
+    quotas = cells.join(seats, "source_rank").groupBy("source_rank").applyInPandas(shard_quotas, "source_rank int, shard long, n long, full long, rem long")
+    quotas = common.store(quotas, "mix-quotas")
+    cell = placed.join(offsets.drop("words"), ["source_rank", "shard", "part"]).join(quotas, ["source_rank", "shard"])
+
+    n, rem, unit, at = F.col("n"), F.col("rem"), F.lit(block), F.col("inside") + F.col("offset")
+    cell = cell.withColumn("turn", F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "source_rank", "shard")), 1, 8), 16, 10).cast("long") % n)
     div = lambda x, y: F.call_function("div", x, y)
     # block b is one of the evenly spaced ones iff the multiples of rem step over a multiple of n at b
     # so that the number of chosen ones before a block follows from one division
     steps = lambda y: div(y * rem, n)
     upto = lambda b: steps(b + F.col("turn")) - steps(F.col("turn"))
-    words = lambda x: upto(div(x, unit)) * unit + (upto(div(x, unit) + 1) - upto(div(x, unit))) * (x % unit)
-    taken = F.col("size") * F.col("full") + words(at + F.col("size")) - words(at)
-    return cell.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                       taken.cast("long").alias("taken"))
+    chosen = lambda x: upto(div(x, unit)) * unit + (upto(div(x, unit) + 1) - upto(div(x, unit))) * (x % unit)
+    taken = F.col("size") * F.col("full") + chosen(at + F.col("size")) - chosen(at)
+    out = [F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target"]
+    return cell.select(*out, taken.cast("long").alias("taken")).unionByName(named.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))

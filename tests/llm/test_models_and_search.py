@@ -1,4 +1,5 @@
 """Language ID, URL filter, decontamination, mixing and top-k search."""
+import hashlib
 import random
 from collections import defaultdict
 
@@ -296,6 +297,35 @@ def test_small_sources_meet_their_targets_in_many_shards(spark):
     assert sorted(runs[0]) == sorted(runs[1])
 
 
+def test_mix_apportions_blocks_to_shards(spark):
+    """Sources and then shards by highest quotients, blocks of one size, walked through one by one."""
+    rng = random.Random(9)
+    rows = [(i, "w " * rng.randrange(120), rng.choice(["a", "b", "b", "c"])) for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = {r.doc_id: r for r in op4.mix(df, blocks=10_000, seat_words=40_000, shard_words=9_000).collect()}
+    size = {i: len(pieces(t)) for i, t, _ in rows}
+    target = {r.source: r.target for r in got.values()}
+    total, names = sum(size.values()), ["a", "b", "c"]
+    shards = -(-total // 40_000)
+    block = min(total // 10_000, int(min(target.values())) // (1000 * shards))
+    assert block > 1 and shards > 2
+    cells = defaultdict(list)
+    for i, _, s in rows:
+        h = hashlib.md5(f"mix:{i}".encode()).hexdigest()
+        cells[s, int(h[:8], 16) % shards].append((h, i))
+    n = {k: -(-sum(size[i] for _, i in v) // block) for k, v in cells.items()}
+    seats = plain_seats([target[s] for s in names], round(sum(target.values()) / block), [3 * sum(n.get((s, k), 0) for k in range(shards)) for s in names])
+    for rank, s in enumerate(names, 1):
+        mine = [k for k in range(shards) if (s, k) in cells]
+        for k, quota in zip(mine, plain_seats([sum(size[i] for _, i in cells[s, k]) for k in mine], seats[rank - 1], [3 * n[s, k] for k in mine]), strict=True):
+            blocks, turn, at = n[s, k], int(hashlib.md5(f"mix:{rank}:{k}".encode()).hexdigest()[:8], 16) % n[s, k], 0
+            rem = quota % blocks
+            times = [quota // blocks + (((b + turn) % blocks + 1) * rem // blocks > (b + turn) % blocks * rem // blocks) for b in range(blocks)]
+            for _, i in sorted(cells[s, k]):
+                assert got[i].taken == sum(times[w // block] for w in range(at, at + size[i])), i
+                at += size[i]
+
+
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert op4.mix(df).collect() == []
