@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -52,18 +52,46 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
     earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(UNB, -1)
     start = totals.select(*[F.col(c).alias(f"_g_{c}") for c in groups], F.col("_part").alias("_p"),
                           *[F.coalesce(F.sum(f"_t_{v}").over(earlier), F.lit(0)).alias(f"_o_{v}") for v in sums])
-    same = F.col("_part") == F.col("_p")
-    for c in groups:
-        same = same & x[c].eqNullSafe(F.col(f"_g_{c}"))
     here = Window.partitionBy(*groups, "_part").orderBy(*by)
     cols = {f"{out_prefix}{v}": F.sum(F.coalesce(F.col(v), F.lit(0))).over(here.rowsBetween(UNB, 0)) + F.col(f"_o_{v}")
             for v in value_cols}
     if with_position:
         cols[with_position] = (F.row_number().over(here) + F.col("_o__rows")).cast("int")
-    out = x.join(start, same, "left").withColumns(cols)
+    out = _with_start(x, start, groups, F.col("_part")).withColumns(cols)
     return out.select(*df.columns, *[c for c in cols if c not in df.columns])
 
 
-def position_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]], out: str) -> DataFrame:
-    """Distributed ``row_number() over (partition by group order by ...)``."""
-    return prefix_sums(df, group_cols, order, [], with_position=out)
+def _with_start(x: DataFrame, start: DataFrame, groups: Sequence[str], part: Column) -> DataFrame:
+    """Attach the offsets of a row's (group, part). They are written first:
+    from the size of a file Spark knows that they are small enough to be
+    broadcast, from their plan it would shuffle all rows."""
+    start = materialize(start, "offsets")
+    same = part == F.col("_p")
+    for c in groups:
+        same = same & x[c].eqNullSafe(F.col(f"_g_{c}"))
+    return x.join(start, same, "left")
+
+
+def position_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]], out: str,
+                    keep: Sequence[str] | None = None) -> DataFrame:
+    """Distributed ``row_number() over (partition by group order by ...)``.
+
+    The rows of a part are numbered in sorted order as they are written, so
+    that they move once; a row's position is its number less that of the first
+    row of its group in the part, plus the rows of the group in earlier parts.
+    ``keep``: columns to write and return beside the groups (default: all)."""
+    groups = list(group_cols)
+    kept = df.columns if keep is None else list(dict.fromkeys([*groups, *keep]))
+    by = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = df.repartitionByRange(parts, *groups, *by).sortWithinPartitions(*groups, *by)
+    x = x.select(*kept, F.monotonically_increasing_id().alias("_id"))
+    x = materialize(x, "ordered")
+
+    part = F.shiftright("_id", 33)  # the upper bits of the number are the part
+    first = x.groupBy(*groups, part.alias("_p")).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*groups).orderBy("_p").rowsBetween(UNB, -1)
+    start = first.select(*[F.col(c).alias(f"_g_{c}") for c in groups], "_p",
+                         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_o"))
+    x = _with_start(x, start, groups, part).withColumn(out, (F.col("_id") + F.col("_o")).cast("int"))
+    return x.select(*dict.fromkeys([*kept, out]))

@@ -75,11 +75,13 @@ def supplier_month_panel(lineitem: DataFrame, orders: DataFrame,
     if distributed_ranks:
         from ..operators.ordered import position_within
         from ..session import materialize
-        # read three times (size check + ranks): write the small aggregate once
-        r = materialize(r, "monthly_aggregate")
-        r = position_within(r, ev, [("rev_cents", False), ("driver_id", True)], "_pos_rev")
-        r = position_within(r, ev, [("qty", False), ("driver_id", True)], "_pos_qty")
-        r = position_within(r, ev, [("urgent_qty", False), ("driver_id", True)], "_pos_urg")
+        # read by every rank: write the small aggregate once. Only the ranked
+        # columns are sorted; the positions come back by the number of the row.
+        r = rows = materialize(r.withColumn("_row", F.monotonically_increasing_id()), "monthly_aggregate")
+        for value, out in (("rev_cents", "_pos_rev"), ("qty", "_pos_qty"), ("urgent_qty", "_pos_urg")):
+            ranked = position_within(rows.select("_row", *ev, value, "driver_id"), ev,
+                                     [(value, False), ("driver_id", True)], out, keep=["_row"])
+            r = r.join(ranked.select("_row", out), "_row")
         pos_rev, pos_qty, pos_urg = F.col("_pos_rev"), F.col("_pos_qty"), F.col("_pos_urg")
     else:
         w = Window.partitionBy(*ev)

@@ -53,3 +53,22 @@ def test_stage_tables_can_be_dropped(spark, monkeypatch):
     monkeypatch.setattr(session, "_STAGES", {})  # other tests still read theirs
     position_within(spark.range(5), [], [("id", True)], "p").count()
     assert drop_stages(spark) > 0 and drop_stages(spark) == 0
+
+
+def test_positions_move_and_write_only_what_is_ranked(spark):
+    """The rows of a part are numbered as they are written: no window over
+    them, and columns that aren't asked for are not written."""
+    df = spark.range(500).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).alias("v"), "id", F.lit("x" * 50).alias("wide"))
+    got = position_within(df, ["g"], [("v", False), ("id", True)], "pos", keep=["id"])
+    assert got.columns == ["g", "id", "pos"]
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+    rows = sorted((r["g"], -(r["id"] % 7), r["id"], r["pos"]) for r in got.collect())
+    for g in range(3):
+        assert [r[3] for r in rows if r[0] == g] == list(range(1, 1 + len([r for r in rows if r[0] == g])))
+    assert len(rows) == 500
+
+
+def test_positions_of_null_and_tied_groups(spark):
+    df = spark.range(200).select(F.when(F.col("id") % 2 == 0, F.lit("a")).alias("g"), F.lit(1).alias("v"), "id").repartition(7)
+    got = {r["id"]: r["pos"] for r in position_within(df, ["g"], [("v", True), ("id", True)], "pos").collect()}
+    assert got == {i: i // 2 + 1 for i in range(200)}
