@@ -133,3 +133,17 @@ def test_exact_quantiles_match_percentile(spark):
     med = column_medians(df.withColumn("z", F.lit(None).cast("double")), ["v", "w", "z"]).first()
     ref = df.agg(F.percentile("v", 0.5).alias("v"), F.percentile("w", 0.5).alias("w")).first()
     assert med["v"] == pytest.approx(ref["v"]) and med["w"] == pytest.approx(ref["w"]) and med["z"] is None
+
+
+def test_recent_rows_of_a_group_across_blocks(spark, monkeypatch):
+    """Frames of the last rows that reach into the block before."""
+    from tallyspark.operators import history as H
+    from tallyspark.spec import DEFAULT_SPEC as S
+    monkeypatch.setattr(H, "RECENT_BLOCK", 7)
+    points = {(g, p): (p * p + g) % 11 for g in (1, 2) for p in range(1, 41)}
+    first = 17
+    x = spark.createDataFrame([(g * 100 + p, g, p, v, p >= first, p > first - 6) for (g, p), v in points.items()],
+                              f"_row long, {S.group} int, _P long, _ep long, _live boolean, _context boolean")
+    got = {r["_row"]: (r[1], r[2]) for r in H._compat_recent_rows(x, S).collect()}
+    want = {g * 100 + p: tuple(sum(points[g, q] for q in range(p - n, p)) for n in (3, 5)) for g, p in points if p >= first}
+    assert got == want
