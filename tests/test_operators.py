@@ -147,3 +147,23 @@ def test_recent_rows_of_a_group_across_blocks(spark, monkeypatch):
     got = {r["_row"]: (r[1], r[2]) for r in H._compat_recent_rows(x, S).collect()}
     want = {g * 100 + p: tuple(sum(points[g, q] for q in range(p - n, p)) for n in (3, 5)) for g, p in points if p >= first}
     assert got == want
+
+
+def test_supplier_listed_twice_keeps_one_order_in_all_ranks(spark):
+    """Its two rows take adjacent positions, the same one first in each rank."""
+    from tallyspark.sources.fixture import supplier_month_panel
+    n = 12
+    li = spark.createDataFrame([(i, i, 10.0 * (i % 5), float(i % 4), "N", "O", f"1995-0{1 + m}-03") for i in range(n) for m in range(2)],
+                               "l_orderkey int, l_suppkey int, l_extendedprice double, l_quantity double, l_returnflag string, "
+                               "l_linestatus string, l_shipdate string").withColumn("l_shipdate", F.to_date("l_shipdate"))
+    orders = spark.createDataFrame([(i, "1-URGENT") for i in range(n)], "o_orderkey int, o_orderpriority string")
+    sup = spark.createDataFrame([(i, f"s{i}", i % 3) for i in [*range(n), 4, 5]], "s_suppkey int, s_name string, s_nationkey int")
+    got = {}
+    for r in supplier_month_panel(li, orders, sup).collect():
+        got.setdefault((r["season"], r["round"], r["driver_id"]), []).append((r["position_order"], r["grid"], r["quali_position"]))
+    assert len(got) == 2 * n
+    for (_, _, driver), rows in got.items():
+        assert len(rows) == (2 if driver in (4, 5) else 1)
+        if len(rows) == 2:
+            a, b = sorted(rows)
+            assert [y and y - x for x, y in zip(a, b) if x] == [1] * len([x for x in a if x])
