@@ -65,13 +65,15 @@ def top_null_rates(profile: DataFrame, k: int = 25) -> DataFrame:
 
 
 def feature_presence(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Null rate and sample standard deviation per feature (long form)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs.append(F.avg(F.col(c).isNull().cast("double")).alias(f"nr{i}"))
-        aggs.append(F.stddev_samp(F.col(c).cast("double")).alias(f"sd{i}"))
-    stack = ", ".join(f"'{c}', nr{i}, sd{i}" for i, c in enumerate(cols))
-    return df.agg(*aggs).selectExpr(f"stack({len(cols)}, {stack}) as (feature, null_rate, std)")
+    """Null rate and sample standard deviation per feature (long form).
+
+    A row becomes one row per feature, two aggregates each: two aggregates for
+    every column at once make a method that the JVM won't compile."""
+    cols = list(cols)
+    x = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_i", "_x"))
+    found = x.groupBy("_i").agg(F.avg(F.col("_x").isNull().cast("double")).alias("null_rate"), F.stddev_samp("_x").alias("std"))
+    every = df.sparkSession.createDataFrame(list(enumerate(cols)), "_i int, feature string")  # also where there are no rows
+    return every.join(F.broadcast(found), "_i", "left").select("feature", "null_rate", "std")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

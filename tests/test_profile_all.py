@@ -40,3 +40,24 @@ def test_empty_table(spark):
 def test_the_oracle_covers_all_model_features(spark, sf_dir):
     from tallyspark.plans import catalog_panel as P
     assert P._model_features(spark, sf_dir)[1] == P.FEATURES
+
+
+def test_feature_presence_of_many_columns(spark):
+    """Null rates and deviations against numpy; no aggregate grows with the number of columns."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 40)) * 5 + 100
+    x[rng.random((200, 40)) < 0.3] = np.nan
+    x[:, 7], x[1:, 8] = np.nan, np.nan
+    x[0, 8] = 3.0
+    cols = [f"c{i}" for i in range(40)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    out = PR.feature_presence(df, cols)
+    assert str(out._jdf.queryExecution().optimizedPlan()).count("stddev_samp") <= 2
+    got = {r.feature: r for r in out.collect()}
+    assert list(sorted(got)) == sorted(cols)
+    for i, c in enumerate(cols):
+        known = x[~np.isnan(x[:, i]), i]
+        assert got[c].null_rate == pytest.approx(1 - len(known) / 200)
+        assert got[c].std == (pytest.approx(known.std(ddof=1), rel=1e-9) if len(known) > 1 else None)
+    empty = PR.feature_presence(df.where("c0 > 1e9"), cols).collect()
+    assert len(empty) == 40 and all(r.null_rate is None and r.std is None for r in empty)
