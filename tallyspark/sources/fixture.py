@@ -36,13 +36,13 @@ def points_for(position_col) -> F.Column:
 
 
 def monthly_supplier_aggregate(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    season = F.year("l_shipdate").cast("int").alias("season")
-    month = F.month("l_shipdate").cast("int").alias("round")
+    # year and month travel as one number: less to shuffle, join and group by
+    month = (F.year("l_shipdate").cast("int") * 12 + F.month("l_shipdate").cast("int") - 1).alias("_month")
     li = lineitem.select(
-        F.col("l_orderkey"), F.col("l_suppkey").alias("driver_id"), season, month,
+        F.col("l_orderkey"), F.col("l_suppkey").alias("driver_id"), month,
         F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_returnflag"),
         F.col("l_linestatus"))
-    base = li.groupBy("driver_id", "season", "round").agg(
+    base = li.groupBy("driver_id", "_month").agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("rev_cents"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
         F.count(F.lit(1)).alias("n_lines"),
@@ -51,12 +51,13 @@ def monthly_supplier_aggregate(lineitem: DataFrame, orders: DataFrame) -> DataFr
     )
     urgent_orders = orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
         F.col("o_orderkey").alias("l_orderkey"))
-    urgent = (li.select("l_orderkey", "driver_id", "season", "round", "l_quantity")
+    urgent = (li.select("l_orderkey", "driver_id", "_month", "l_quantity")
                 .join(urgent_orders, "l_orderkey", "left_semi")
-                .groupBy("driver_id", "season", "round")
+                .groupBy("driver_id", "_month")
                 .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("urgent_qty")))
-    return (base.join(urgent, ["driver_id", "season", "round"], "left")
-                .withColumn("urgent_qty", F.coalesce("urgent_qty", F.lit(0).cast("bigint"))))
+    return base.join(urgent, ["driver_id", "_month"], "left").select(
+        "driver_id", F.floor(F.col("_month") / 12).cast("int").alias("season"), (F.pmod("_month", F.lit(12)) + 1).alias("round"),
+        "rev_cents", "qty", "n_lines", "n_ret", "n_open", F.coalesce("urgent_qty", F.lit(0).cast("bigint")).alias("urgent_qty"))
 
 
 def supplier_month_panel(lineitem: DataFrame, orders: DataFrame,

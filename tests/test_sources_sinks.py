@@ -164,3 +164,23 @@ def test_text_numbers_are_coerced(spark):
     rows = [r.asDict() for r in clean_base(df, S).collect()]
     assert rows[0]["season"] == 2001 and rows[0]["quali_position"] is None and rows[0]["missing_qualifying"] == 1 and rows[0]["points"] == 2.5
     assert rows[1]["season"] is None and rows[1]["grid_position"] is None and rows[1]["position_order"] is None and rows[1]["points"] is None
+
+
+def test_line_items_are_shuffled_with_one_number_for_the_month(spark):
+    """Year and month, null and December included, survive the number; they used to be two columns of each shuffle."""
+    import datetime as dt
+
+    from tallyspark.sources.fixture import monthly_supplier_aggregate
+    day = lambda y, m: y and dt.datetime(y, m, 28, 23, 59)
+    rows = [(1, 7, day(1995, 12), 10.005, 2.0, "R", "F"), (2, 7, day(1995, 12), 1.0, 3.0, "N", "O"), (1, 7, day(1996, 1), 2.0, 4.0, "N", "F"),
+            (3, 7, day(None, 0), 5.0, 5.0, "N", "F"), (1, 7, day(None, 0), 5.0, 6.0, "N", "F"), (1, None, day(1996, 1), 2.5, 7.0, "R", "O")]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, l_quantity double, l_returnflag string, l_linestatus string")
+    orders = spark.createDataFrame([(1, "1-URGENT"), (1, "1-URGENT"), (2, "5-LOW"), (3, "1-URGENT")], "o_orderkey long, o_orderpriority string")
+    got = monthly_supplier_aggregate(lines, orders)
+    assert got.columns == ["driver_id", "season", "round", "rev_cents", "qty", "n_lines", "n_ret", "n_open", "urgent_qty"]
+    assert [got.schema[c].dataType.simpleString() for c in ("season", "round", "urgent_qty")] == ["int", "int", "bigint"]
+    # null keys meet nothing in the join with the urgent quantity
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        (7, 1995, 12, 1101, 5, 2, 1, 1, 2), (7, 1996, 1, 200, 4, 1, 0, 0, 4), (7, None, None, 1000, 11, 2, 0, 0, 0), (None, 1996, 1, 250, 7, 1, 1, 1, 0)], key=str)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_month" in plan and not any("Exchange" in line and "round#" in line for line in plan.splitlines())
