@@ -35,7 +35,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
@@ -105,6 +105,16 @@ def _parts(spark: SparkSession, table_path: str, parts: dict[str, str]) -> DataF
     return spark.read.schema(_log_schema(spark)).parquet(*[f"{table_path}/_snapshots/{folder}" for folder in parts.values()])
 
 
+def _part() -> Column:
+    """The name of a row's season in the manifest."""
+    return F.concat(F.lit("s"), F.coalesce(F.col("season"), F.lit("")))
+
+
+def _touched(fresh: DataFrame) -> list[str]:
+    """The seasons that new epochs have rows of."""
+    return [r.p for r in fresh.select(_part().alias("p")).distinct().collect()]
+
+
 def write_snapshot(spark: SparkSession, table_path: str) -> dict | None:
     """Step 1: the manifest that a compaction would publish, its folders
     written; None if there is no new epoch."""
@@ -112,13 +122,12 @@ def write_snapshot(spark: SparkSession, table_path: str) -> dict | None:
     epochs = finished_epochs(spark, table_path, old["through"])
     if not epochs:
         return None
-    part = F.concat(F.lit("s"), F.coalesce(F.col("season"), F.lit("")))
     fresh = _epochs(spark, table_path, epochs)
-    touched = [r.p for r in fresh.select(part.alias("p")).distinct().collect()]  # seasons
+    touched = _touched(fresh)
     known = {s: old["parts"][s] for s in touched if s in old["parts"]}
     rows = fresh.unionByName(_parts(spark, table_path, known)) if known else fresh
     folder = f"v-{uuid.uuid4().hex[:12]}"
-    latest(rows).withColumn("_part", part).repartition("_part", F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in RESULT_KEY]), F.lit(8))) \
+    latest(rows).withColumn("_part", _part()).repartition("_part", F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in RESULT_KEY]), F.lit(8))) \
         .write.partitionBy("_part").parquet(f"{table_path}/_snapshots/{folder}")
     fs, p = hadoop_path(spark, f"{table_path}/_snapshots/{folder}")
     written = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
@@ -164,14 +173,20 @@ def compact(spark: SparkSession, table_path: str) -> dict:
 
 
 def read_latest(spark: SparkSession, table_path: str) -> DataFrame:
-    """The latest row of each key: the snapshot and the epochs behind it."""
+    """The latest row of each key: the snapshot and the epochs behind it. Only
+    the seasons that these epochs touch are aggregated; the snapshot has the
+    latest rows of the others already."""
     empty = _results(spark)
     now = manifest(spark, table_path)
     epochs = finished_epochs(spark, table_path, now["through"])
-    out = _parts(spark, table_path, now["parts"]) if now["parts"] else None
+    rest, out = dict(now["parts"]), None
     if epochs:
         fresh = _epochs(spark, table_path, epochs)
-        out = latest(fresh if out is None else fresh.unionByName(out))
+        known = {s: rest.pop(s) for s in _touched(fresh) if s in rest} if rest else {}
+        out = latest(fresh.unionByName(_parts(spark, table_path, known)) if known else fresh)
+    if rest:
+        parts = _parts(spark, table_path, rest)
+        out = parts if out is None else out.unionByName(parts)
     return empty if out is None else out.select(*[F.col(f"`{c}`") for c in empty.columns])
 
 

@@ -116,3 +116,18 @@ def test_changes_are_passed_on_and_late_rows_counted(spark, tmp_path):
     assert deliver("4.json", 90, [("c", 5)]) == ([("-", "3"), ("a", "1"), ("b", "4"), ("c", "5")], 5, 0)
     # older than 30 minutes before the newest file: dropped and counted
     assert deliver("5.json", 20, [("d", 6), ("e", 7)]) == ([("-", "3"), ("a", "1"), ("b", "4"), ("c", "5")], 5, 2)
+
+
+def test_a_read_aggregates_touched_seasons_only(spark, tmp_path):
+    path, run = str(tmp_path / "t"), append_epoch(str(tmp_path / "t"))
+    run(pages(spark, (0, 1, [("a", 1)])), 0)
+    for e, s in enumerate(("1999", None, "2000"), 1):
+        run(season(pages(spark, (0, 1, [("a", e + 1), (None, e)])), s), e)
+    folders = ingest.compact(spark, path)["parts"]
+    run(pages(spark, (0, 2, [("a", 9), ("b", 3)])), 4)
+    got = read_latest(spark, path)
+    assert sorted((r["season"] or "-", r["Driver.driverId"] or "-", r["points"]) for r in got.collect()) == [
+        ("-", "-", "2"), ("-", "a", "3"), ("1999", "-", "1"), ("1999", "a", "2"), ("2000", "-", "3"), ("2000", "a", "4"), ("2001", "a", "9"), ("2001", "b", "3")]
+    plan = got._jdf.queryExecution().optimizedPlan()
+    below = [plan.children().apply(i).toString() for i in range(plan.children().size())]
+    assert plan.nodeName() == "Union" and ["Aggregate" in x for x in below] == [True, False] and len(folders) == 4
